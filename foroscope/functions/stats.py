@@ -9,7 +9,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     """Linear-interpolated quantiles per group: columns ``keys, prob, quantile``.
 
     An approximate sketch brackets every wanted rank first; only the distinct values inside a bracket are
-    sorted, the rest is counted. No task holds a whole group.
+    sorted, the rest is counted. The bracket is four times the sketch error wide, and groups of at most
+    ``accuracy`` rows are sorted whole. No task holds a large group.
     """
     rows = df.filter(F.col(value).isNotNull())
     counts = rows.groupBy(*keys, F.col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
@@ -28,10 +29,16 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
                                F.col("__lo").alias("lo"), F.col("__hi").alias("hi"))).alias("__m"),
     ).select(
         *keys, "__n", F.col("__m.p").alias("prob"),
-        F.when(F.col("__m.p") <= eps, F.col("__min")).otherwise(F.col("__m.lo")).alias("__lo"),
-        F.when(F.col("__m.p") >= 1 - eps, F.col("__max")).otherwise(F.col("__m.hi")).alias("__hi"),
+        F.when((F.col("__m.p") <= eps) | (F.col("__n") <= accuracy), F.col("__min"))
+        .otherwise(F.col("__m.lo")).alias("__lo"),
+        F.when((F.col("__m.p") >= 1 - eps) | (F.col("__n") <= accuracy), F.col("__max"))
+        .otherwise(F.col("__m.hi")).alias("__hi"),
     )
-    joined = counts.join(marks, keys) if keys else counts.join(F.broadcast(marks), F.col("__v").isNotNull())
+    if keys:
+        joined = counts.join(marks, keys)
+    else:
+        every = marks.agg(F.collect_list(F.struct("__n", "prob", "__lo", "__hi"))).scalar()
+        joined = counts.select("*", F.explode(every).alias("__m")).select("__v", "__c", "__m.*")
     near = joined.filter(F.col("__v") <= F.col("__hi")).withColumn(
         "__x", F.when(F.col("__v") >= F.col("__lo"), F.col("__v")))
     # values below the bracket collapse into one NULL row per group by partial aggregation

@@ -1,4 +1,4 @@
 from foroscope.plans.registry import ORACLES, QUERIES
-from foroscope.plans import clean, ingest  # noqa: F401
+from foroscope.plans import clean, ingest, report  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]
