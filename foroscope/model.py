@@ -9,6 +9,15 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash a table read from too few files over all cores before CPU-heavy text work.
+
+    A table with at least as many input partitions as cores is left alone, so large inputs never shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df._jdf.rdd().getNumPartitions() < cores else df
+
+
 def participation(spark, sf_dir) -> DataFrame:
     """Dense participation: actor = supplier, thread = order, forum = return flag."""
     return (table(spark, sf_dir, "lineitem", "l_returnflag", "l_suppkey", "l_orderkey")
@@ -35,8 +44,8 @@ def posts(spark, sf_dir) -> DataFrame:
 
 def text_posts(spark, sf_dir) -> DataFrame:
     """Posts with text: actor = source, forum = language."""
-    return table(spark, sf_dir, "documents", "doc_id", "source", "lang", "text").selectExpr(
-        "doc_id as postid", "source as userid", "lang as forum", "text as pagetext")
+    return spread(table(spark, sf_dir, "documents", "doc_id", "source", "lang", "text").selectExpr(
+        "doc_id as postid", "source as userid", "lang as forum", "text as pagetext"), "postid")
 
 
 def chat(spark, sf_dir) -> DataFrame:

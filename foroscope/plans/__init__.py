@@ -1,4 +1,4 @@
 from foroscope.plans.registry import ORACLES, QUERIES
-from foroscope.plans import activity, clean, ingest, report  # noqa: F401
+from foroscope.plans import activity, clean, ingest, report, texts  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]
