@@ -98,15 +98,35 @@ def _total(layers: list[DataFrame], name: str) -> DataFrame:
     return every.groupBy("pivot", "node").agg(F.sum("x").alias(name))
 
 
-def betweenness(edges: DataFrame, k: int = 32, distance: str = "unit", normalised: bool = True,
-                seed: int = 42) -> DataFrame:
-    """Betweenness estimated from k pivots; exact when k covers all nodes.
+def _unit_loads(arcs: DataFrame, pivots: DataFrame) -> DataFrame | None:
+    """Dependency of every (pivot, node) with one cost per edge, level by level.
 
-    Distances give the acyclic graph of shortest paths per pivot. Path counts are pushed forward along
-    it, dependencies backward; both are sums per (pivot, node), one shuffle per round.
+    Neighbours of level L lie in levels L-1 to L+1, so a new level is checked against the last two only.
     """
-    arcs = stage(with_cost(edges, distance), "arcs")
-    pivots = stage(choose_pivots(arcs, k, seed), "pivots")
+    levels = [stage(pivots.select("pivot", F.col("pivot").alias("node"), F.lit(1.0).alias("sigma")), "level")]
+    while True:
+        last = levels[-2:]
+        seen = reduce(DataFrame.unionByName, last).select("pivot", "node")
+        new = levels[-1].join(arcs, F.col("node") == F.col("src")).groupBy(
+            "pivot", F.col("dst").alias("node")).agg(F.sum("sigma").alias("sigma"))
+        new = stage(new.join(seen, ["pivot", "node"], "left_anti"), "level")
+        if new.limit(1).count() == 0:
+            break
+        levels.append(new)
+    if len(levels) < 3:
+        return None
+    loads, g = [], levels[-1].withColumn("g", F.lit(0.0))
+    for level in reversed(levels[1:-1]):
+        pushed = g.select("pivot", F.col("node").alias("dst"), (1.0 / F.col("sigma") + F.col("g")).alias("x")).join(
+            arcs, "dst").groupBy("pivot", F.col("src").alias("node")).agg(F.sum("x").alias("g"))
+        g = stage(level.join(pushed, ["pivot", "node"], "left").fillna(0.0, ["g"]), "dependency")
+        loads.append(g)
+    return reduce(DataFrame.unionByName, loads)
+
+
+def _weighted_loads(arcs: DataFrame, pivots: DataFrame) -> DataFrame | None:
+    """The same for positive costs: distances give the acyclic graph of shortest paths per pivot, path
+    counts are pushed forward along it and dependencies backward."""
     dist = distances(arcs, pivots)
     ahead = dist.select("pivot", F.col("node").alias("src"), F.col("dist").alias("d0"))
     behind = dist.select("pivot", F.col("node").alias("dst"), F.col("dist").alias("d1"))
@@ -118,13 +138,24 @@ def betweenness(edges: DataFrame, k: int = 32, distance: str = "unit", normalise
     back = steps.select("pivot", F.col("to").alias("from"), F.col("from").alias("to"))
     seeds = paths.filter("pivot <> node").select("pivot", "node", (1.0 / F.col("sigma")).alias("x"))
     layers = _spread_sums(seeds, back, "dependency")[1:]
+    if not layers:
+        return None
+    return _total(layers, "g").filter("pivot <> node").join(paths, ["pivot", "node"])
+
+
+def betweenness(edges: DataFrame, k: int = 32, distance: str = "unit", normalised: bool = True,
+                seed: int = 42) -> DataFrame:
+    """Betweenness estimated from k pivots; exact when k covers all nodes. Sums per (pivot, node) with one
+    shuffle per round."""
+    arcs = stage(with_cost(edges, distance), "arcs")
+    pivots = stage(choose_pivots(arcs, k, seed), "pivots")
+    loads = _unit_loads(arcs, pivots) if distance == "unit" else _weighted_loads(arcs, pivots)
     nodes = arcs.select(F.col("src").alias("userid")).distinct()
+    if loads is None:
+        return nodes.withColumn("betweenness", F.lit(0.0))
     n, used = nodes.agg(F.count("*")).scalar(), pivots.agg(F.count("*")).scalar()
     scale = (F.when(n > 2, 1.0 / ((n - 1) * (n - 2))).otherwise(1.0) if normalised else F.lit(0.5)) * n / used
-    if not layers:
-        return nodes.withColumn("betweenness", F.lit(0.0))
-    load = _total(layers, "g").filter("pivot <> node").join(paths, ["pivot", "node"]).groupBy(
-        F.col("node").alias("userid")).agg(F.sum(F.col("g") * F.col("sigma")).alias("load"))
+    load = loads.groupBy(F.col("node").alias("userid")).agg(F.sum(F.col("g") * F.col("sigma")).alias("load"))
     return nodes.join(load, "userid", "left").select(
         "userid", F.round(F.coalesce("load", F.lit(0.0)) * scale, 8).alias("betweenness"))
 
