@@ -17,7 +17,11 @@ def top_n_per_key(df: DataFrame, keys: list[str], order: list, n: int, rank: str
 
 
 def range_bucket(df: DataFrame, col: str, buckets: int = 16384) -> Column:
-    """Monotone bucket number of a numeric or time column: equal widths between its minimum and maximum."""
+    """Monotone bucket number of a numeric or time column.
+
+    Equal widths between the 0.1 % and 99.9 % quantiles, so that a few absurd values (epoch-zero dates)
+    cannot squeeze all other rows into one bucket; values outside go to the end buckets.
+    """
     kind = dict(df.dtypes)[col]
     if kind.startswith("timestamp"):
         value = F.unix_micros(F.col(col).cast("timestamp"))
@@ -25,10 +29,10 @@ def range_bucket(df: DataFrame, col: str, buckets: int = 16384) -> Column:
         value = F.unix_date(col)
     else:
         value = F.col(col)
-    lo, hi = (
-        df.select(value.alias("v")).agg(fn("v").alias("v")).scalar() for fn in (F.min, F.max)
-    )
-    return F.floor((value - lo) / (hi - lo + F.lit(1)) * buckets)
+    ends = df.select(value.alias("v")).agg(F.percentile_approx("v", [0.001, 0.999], 10000).alias("q"))
+    lo, hi = (ends.select(F.col("q")[i]).scalar() for i in (0, 1))
+    place = F.floor((value - lo) / (hi - lo + F.lit(1)) * buckets)
+    return F.least(F.greatest(place, F.lit(-1)), F.lit(buckets))
 
 
 def hash_bucket(order_text: Column) -> Column:

@@ -36,8 +36,9 @@ def dedup(df: DataFrame, keys: list[str], order: list) -> DataFrame:
 def clean_posts(posts: DataFrame, keys: list[str], order: list, min_length: int = 10) -> DataFrame:
     """Non-blank text, one row per key, dated 2000 or later, at least ``min_length`` characters."""
     kept = posts.filter(F.length(strip("pagetext")) > 0)
-    kept = dedup(kept, keys, order)
-    return kept.filter((F.year("dateline") >= 2000) & (F.length("pagetext") >= min_length))
+    # the length is taken before the shuffle, so a caller that only counts never moves the texts
+    kept = dedup(kept.withColumn("__chars", F.length("pagetext")), keys, order)
+    return kept.filter((F.year("dateline") >= 2000) & (F.col("__chars") >= min_length)).drop("__chars")
 
 
 def clean_messages(messages: DataFrame) -> DataFrame:

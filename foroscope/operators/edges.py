@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foroscope.session import stage
+
 # Threads with more posts than this are left out of the pair graph; pairs reach this many
 # ranks in the banded graph.
 MAX_POSTS, BAND = 100, 9
@@ -15,6 +17,7 @@ def thread_members(posts: DataFrame, max_posts: int = MAX_POSTS) -> DataFrame:
     gathered, so a gathered row never exceeds ``max_posts`` members.
     """
     keys = ["forum", "threadid"]
+    posts = posts.select(*keys, "userid").dropna()
     mega = posts.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > max_posts).select(*keys)
     return posts.join(mega, keys, "left_anti").groupBy(*keys).agg(
         F.array_sort(F.collect_set("userid")).alias("members"))
@@ -28,10 +31,10 @@ def copart_edges(posts: DataFrame, max_posts: int = MAX_POSTS, band: int | None
     """
     reach = max_posts if band is None else band
     members = thread_members(posts, max_posts).filter(F.size("members") > 1)
-    pairs = F.flatten(F.transform("members", lambda a, i: F.transform(
-        F.slice(F.col("members"), i + 2, F.lit(reach)), lambda b: F.struct(a.alias("a"), b.alias("b")))))
-    return members.select("forum", F.explode(pairs).alias("p")).groupBy(
-        F.col("p.a").alias("user_a"), F.col("p.b").alias("user_b"), "forum").agg(F.count("*").alias("weight"))
+    starts = members.select("forum", "members", F.posexplode("members").alias("i", "user_a"))
+    pairs = starts.select("forum", "user_a", F.explode(
+        F.slice("members", F.col("i") + 2, F.lit(reach))).alias("user_b"))
+    return pairs.groupBy("user_a", "user_b", "forum").agg(F.count("*").alias("weight"))
 
 
 def across_forums(edges: DataFrame) -> DataFrame:
@@ -67,8 +70,8 @@ def both_directions(edges: DataFrame) -> DataFrame:
 
 def degree_centrality(edges: DataFrame) -> DataFrame:
     """Degree, strength and degree / (n - 1) of each node."""
-    nodes = both_directions(edges).groupBy(F.col("src").alias("userid")).agg(
-        F.count("*").alias("degree"), F.sum("weight").alias("strength"))
+    nodes = stage(both_directions(edges).groupBy(F.col("src").alias("userid")).agg(
+        F.count("*").alias("degree"), F.sum("weight").alias("strength")), "degrees")
     n = nodes.agg(F.count("*")).scalar()
     return nodes.withColumn("centrality", F.round(F.col("degree") / F.greatest(n - 1, F.lit(1)), 6))
 
@@ -119,13 +122,15 @@ def modularity(edges: DataFrame, labels: DataFrame) -> DataFrame:
 
 def direct_contacts(edges: DataFrame, node: str, n: int = 20) -> DataFrame:
     """Strongest direct contacts of one node."""
-    return both_directions(edges).filter(F.col("src") == node).select(
+    mine = edges.filter((F.col("user_a") == node) | (F.col("user_b") == node))
+    return both_directions(mine).filter(F.col("src") == node).select(
         F.col("dst").alias("contact"), "weight").orderBy(F.desc("weight"), "contact").limit(n)
 
 
 def common_contacts(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Contacts shared by two given nodes with both weights; only their own edges are read."""
-    rows = both_directions(edges).filter(F.col("src").isin(a, b))
+    mine = edges.filter(F.col("user_a").isin(a, b) | F.col("user_b").isin(a, b))
+    rows = both_directions(mine).filter(F.col("src").isin(a, b))
     return rows.groupBy(F.col("dst").alias("contact")).agg(
         F.sum(F.when(F.col("src") == a, F.col("weight"))).alias("weight_a"),
         F.sum(F.when(F.col("src") == b, F.col("weight"))).alias("weight_b")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from foroscope.functions.ranking import range_bucket, rank_in_groups, top_n_per_key
 from foroscope.functions.stats import exact_quantiles, quantile_columns
 from foroscope.functions.text import strip
+from foroscope.session import stage
 
 
 def source_summary(users: DataFrame, posts: DataFrame) -> DataFrame:
@@ -28,13 +29,15 @@ def fill_rate(df: DataFrame, columns: list[str]) -> DataFrame:
 def quality_report(posts: DataFrame, threads: DataFrame, key: str) -> DataFrame:
     """Epoch-zero dates, NULL dates, blank, very short and orphan posts per source."""
     known = threads.select(key).distinct().withColumn("known", F.lit(True))
-    text = strip(F.coalesce("pagetext", F.lit("")))
-    return posts.join(known, key, "left").groupBy("forum").agg(
+    # only lengths and dates go through the join, never the texts
+    slim = posts.select("forum", key, "dateline",
+                        F.length(strip(F.coalesce("pagetext", F.lit("")))).alias("chars"))
+    return slim.join(known, key, "left").groupBy("forum").agg(
         F.count("*").alias("posts"),
         F.count_if(F.year("dateline") < 2000).alias("epoch_zero"),
         F.count_if(F.col("dateline").isNull()).alias("null_date"),
-        F.count_if(text == "").alias("blank"),
-        F.count_if((text != "") & (F.length(text) < 5)).alias("very_short"),
+        F.count_if(F.col("chars") == 0).alias("blank"),
+        F.count_if(F.col("chars").between(1, 4)).alias("very_short"),
         F.count_if(F.col("known").isNull()).alias("orphans"))
 
 
@@ -58,7 +61,7 @@ def count_check(actual: DataFrame, expected: DataFrame, key: str) -> DataFrame:
 def count_classes(df: DataFrame, actor: str) -> DataFrame:
     """How many actors have each row count. N rows allow at most sqrt(2N) distinct counts, so global
     rankings over this table stay small at any scale."""
-    per_actor = df.groupBy(actor).agg(F.count("*").alias("posts"))
+    per_actor = df.filter(F.col(actor).isNotNull()).groupBy(actor).agg(F.count("*").alias("posts"))
     return per_actor.groupBy("posts").agg(F.count("*").alias("actors"))
 
 
@@ -95,7 +98,7 @@ def concentration(df: DataFrame, actor: str, section: str) -> DataFrame:
 
 def dominant_label(df: DataFrame, actor: str, label: str) -> DataFrame:
     """Most frequent label per actor (ties to the lower label) with its count and share."""
-    counts = df.groupBy(actor, label).agg(F.count("*").alias("n"))
+    counts = df.dropna(subset=[actor, label]).groupBy(actor, label).agg(F.count("*").alias("n"))
     totals = counts.groupBy(actor).agg(F.sum("n").alias("total"))
     best = top_n_per_key(counts, [actor], [F.desc("n"), label], 1)
     return best.join(totals, actor).withColumn("share", F.round(F.col("n") / F.col("total"), 6))
@@ -103,7 +106,7 @@ def dominant_label(df: DataFrame, actor: str, label: str) -> DataFrame:
 
 def label_share(df: DataFrame, actor: str, label: str) -> DataFrame:
     """Share of each label within its actor and whether it is the dominant one."""
-    counts = df.groupBy(actor, label).agg(F.count("*").alias("n"))
+    counts = df.dropna(subset=[actor, label]).groupBy(actor, label).agg(F.count("*").alias("n"))
     w = Window.partitionBy(actor)
     return counts.select(
         actor, label, "n", F.round(F.col("n") / F.sum("n").over(w), 6).alias("share"),
@@ -178,14 +181,15 @@ def describe_group(df: DataFrame, keys: list[str], value: str, digits: int = 4,
 
 def net_votes(votes: DataFrame, who: str) -> DataFrame:
     """Positive, negative, net and total votes per receiver or giver."""
-    return votes.groupBy(who).agg(
+    return votes.filter(F.col(who).isNotNull()).groupBy(who).agg(
         F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("neg"),
         F.count("*").alias("total")).withColumn("net", F.col("pos") - F.col("neg"))
 
 
 def participation(posts: DataFrame) -> DataFrame:
     """Posts per (forum, actor, thread), ids prefixed by forum."""
-    return posts.groupBy("forum", "userid", "threadid").agg(F.count("*").alias("post_count")).select(
+    rows = posts.dropna(subset=["forum", "userid", "threadid"])
+    return rows.groupBy("forum", "userid", "threadid").agg(F.count("*").alias("post_count")).select(
         "forum", F.concat_ws("_", "forum", "userid").alias("userid"),
         F.concat_ws("_", "forum", "threadid").alias("threadid"), "post_count")
 
@@ -231,7 +235,7 @@ def sampling_cost(df: DataFrame, actor: str, caps: list[int]) -> DataFrame:
 
 def length_profile(df: DataFrame, text: str) -> DataFrame:
     """Distribution of text lengths with the shares below 5 and above 500 characters."""
-    rows = df.select(F.length(text).alias("chars"))
+    rows = stage(df.select(F.length(text).alias("chars")), "lengths")  # the texts are read once
     return describe_group(rows, [], "chars", extra=(
         F.round(F.avg((F.col("chars") < 5).cast("double")), 6).alias("share_short"),
         F.round(F.avg((F.col("chars") > 500).cast("double")), 6).alias("share_long")))
@@ -239,7 +243,8 @@ def length_profile(df: DataFrame, text: str) -> DataFrame:
 
 def threads_per_actor(posts: DataFrame) -> DataFrame:
     """Median and maximum number of distinct threads of an actor."""
-    per_actor = posts.select("userid", "threadid").distinct().groupBy("userid").agg(F.count("*").alias("threads"))
+    pairs = posts.select("userid", "threadid").dropna().distinct()
+    per_actor = stage(pairs.groupBy("userid").agg(F.count("*").alias("threads")), "threads-per-actor")
     top = per_actor.agg(F.count("*").alias("actors"), F.max("threads").alias("max_threads"))
     median = exact_quantiles(per_actor, [], "threads", [0.5]).select("quantile").scalar()
     return top.withColumn("median_threads", median)
@@ -247,7 +252,7 @@ def threads_per_actor(posts: DataFrame) -> DataFrame:
 
 def top_actors(df: DataFrame, actor: str, attributes: DataFrame, n: int) -> DataFrame:
     """Most active actors with their attributes; only the top rows are joined."""
-    best = df.groupBy(actor).agg(F.count("*").alias("posts")).orderBy(F.desc("posts"), actor).limit(n)
+    best = df.filter(F.col(actor).isNotNull()).groupBy(actor).agg(F.count("*").alias("posts")).orderBy(F.desc("posts"), actor).limit(n)
     return best.join(attributes, actor, "left")
 
 

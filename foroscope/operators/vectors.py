@@ -136,7 +136,7 @@ def mixed_clusters(clusters: DataFrame, source: str) -> DataFrame:
 
 def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:
     """Adjusted Rand index of two labelings from their contingency counts."""
-    cells = df.groupBy(a, b).agg(F.count("*").alias("n"))
+    cells = stage(df.dropna(subset=[a, b]).groupBy(a, b).agg(F.count("*").alias("n")), "contingency")
 
     def comb(c):
         return F.col(c).cast("double") * (F.col(c) - 1) / 2

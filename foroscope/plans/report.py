@@ -9,6 +9,7 @@ from foroscope.operators import joins as jn
 from foroscope.operators import report as rp
 from foroscope.plans.clean import RAW_POSTS, raw_posts
 from foroscope.plans.registry import query
+from foroscope.session import stage
 from foroscope.operators.clean import clean_posts
 
 # ---- joins
@@ -110,16 +111,18 @@ def source_summary(spark, sf):
     return rp.source_summary(users, posts)
 
 
-FILL = ["text", "lang", "source", "quality"]
+FILL = ["text", "lang", "source", "n_chars"]
 
 
-@query("fill_rate", "with d as (select documents.text, lang, source, quality from documents "
-       "left join labels using (doc_id)) " + " union all ".join(
+@query("fill_rate", "with d as (select text, case when doc_id % 7 = 0 then null else lang end as lang, "
+       "case when doc_id % 5 = 0 then '  ' else source end as source, n_chars from documents) " + " union all ".join(
            f"select '{c}' as column_name, round(100 * avg(case when length(regexp_replace(cast({c} as varchar), "
            f"'^\\s+|\\s+$', '', 'g')) > 0 then 1.0::double else 0 end), 2) as fill_pct from d" for c in FILL))
 def fill_rate(spark, sf):
-    docs = table(spark, sf, "documents", "doc_id", "text", "lang", "source")
-    return rp.fill_rate(docs.join(table(spark, sf, "labels", "doc_id", "quality"), "doc_id", "left"), FILL)
+    docs = table(spark, sf, "documents", "doc_id", "text", "lang", "source", "n_chars").selectExpr(
+        "text", "case when doc_id % 7 = 0 then null else lang end as lang",
+        "case when doc_id % 5 = 0 then '  ' else source end as source", "n_chars")
+    return rp.fill_rate(docs, FILL)
 
 
 @query("quality_report", f"""
@@ -275,7 +278,7 @@ join orders on channel = o_orderkey group by 1""")
 def conversation_medians(spark, sf):
     paid = table(spark, sf, "orders", "o_orderkey", "o_orderstatus").selectExpr(
         "o_orderkey as channel", "o_orderstatus = 'F' as paid")
-    hours = conversations(spark, sf).select("channel", "hours").join(paid, "channel")
+    hours = stage(conversations(spark, sf).select("channel", "hours").join(paid, "channel"), "hours")
     return exact_quantiles(hours, ["paid"], "hours", [0.5]).select("paid", F.col("quantile").alias("median_hours"))
 
 

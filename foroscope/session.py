@@ -13,6 +13,8 @@ def build_session(master: str | None = None, app: str = "foroscope", **conf) ->
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # small shuffles keep one partition per core; large ones are not affected
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
