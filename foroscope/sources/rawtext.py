@@ -34,9 +34,10 @@ def joined_statements(frags: DataFrame, separator: str, quote: str) -> DataFrame
     """Undo splits that fell inside a quoted string.
 
     A statement ends where the number of unescaped quotes since the start of the file is even. Counts are
-    summed per file block first, so long files keep their parallelism.
+    summed per file block first, so long files keep their parallelism. Quotes in comment lines ahead of a
+    statement do not count.
     """
-    bare = F.regexp_replace("value", r"(?s)\\.", "")
+    bare = F.regexp_replace(F.regexp_replace("value", r"^(\s*--[^\n]*\n)+", ""), r"(?s)\\.", "")
     odd = (F.length(bare) - F.length(F.replace(bare, F.lit(quote), F.lit("")))) % 2
     run = _running(frags.withColumn("odd", odd), "odd", "quotes", inclusive=True)
     run = run.withColumn("closed", F.when(F.col("quotes") % 2 == 0, 1).otherwise(0))
