@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from foroscope.functions.ranking import top_n_per_key
 from foroscope.operators.edges import both_directions
 from foroscope.operators.sample import hash_order
-from foroscope.session import stage
+from foroscope.session import restage, stage
 
 
 def components(edges: DataFrame, nodes: DataFrame | None = None, max_rounds: int = 50) -> DataFrame:
@@ -33,7 +33,7 @@ def components(edges: DataFrame, nodes: DataFrame | None = None, max_rounds: int
         low = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(low, "u").select(F.explode(F.array(
             F.struct(F.col("u"), F.col("m")), F.struct(F.col("v").alias("u"), F.col("m")))).alias("e"))
-        now = stage(small.select("e.u", F.col("e.m").alias("v")).filter("u <> v").distinct(), "cc")
+        now = restage(small.select("e.u", F.col("e.m").alias("v")).filter("u <> v").distinct(), "cc", now)
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == mark:
             break
@@ -74,9 +74,9 @@ def distances(arcs: DataFrame, pivots: DataFrame, max_rounds: int = 200) -> Data
             F.min(F.col("dist") + F.col("cost")).alias("cand"))
         merged = known.join(reached, ["pivot", "node"], "full")
         better = F.col("dist").isNull() | (F.col("cand") < F.col("dist") - 1e-9)
-        known = stage(merged.select(
+        known = restage(merged.select(
             "pivot", "node", F.when(better, F.col("cand")).otherwise(F.col("dist")).alias("dist"),
-            F.when(better, F.lit(step)).otherwise(F.col("round")).alias("round")), "dist")
+            F.when(better, F.lit(step)).otherwise(F.col("round")).alias("round")), "dist", known)
         if known.filter(F.col("round") == step).limit(1).count() == 0:
             break
     return known.select("pivot", "node", "dist")

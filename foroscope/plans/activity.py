@@ -81,7 +81,7 @@ def thread_sample(spark, sf):
 
 @query("monthly_activity", """
 select o_orderpriority as forum, cast(date_trunc('month', o_orderdate) as date) as period, count(*) as posts
-from orders group by 1, 2""")
+from orders group by 1, 2""", days=("period",))
 def monthly_activity(spark, sf):
     posts = table(spark, sf, "orders", "o_orderpriority", "o_orderdate").withColumnRenamed("o_orderpriority", "forum")
     return ac.period_counts(posts, "o_orderdate", "month", ("forum",))
@@ -91,7 +91,7 @@ def monthly_activity(spark, sf):
 with q as (select o_orderpriority as forum, cast(date_trunc('quarter', o_orderdate) as date) as period, count(*) as posts
   from orders group by 1, 2)
 select forum, period as peak_period, posts as peak_posts from q
-qualify row_number() over (partition by forum order by posts desc, period) = 1""")
+qualify row_number() over (partition by forum order by posts desc, period) = 1""", days=("peak_period",))
 def quarterly_peak(spark, sf):
     posts = table(spark, sf, "orders", "o_orderpriority", "o_orderdate").withColumnRenamed("o_orderpriority", "forum")
     quarters = ac.period_counts(posts, "o_orderdate", "quarter", ("forum",))
@@ -108,12 +108,12 @@ select period, coalesce(posts, 0) as posts from e left join c using (period)"""
 SPARSE = "select ts from events where event_type = 'error' union all select l_shipdate from lineitem"
 
 
-@query("daily_filled", FILLED.format(unit="day", src=SPARSE))
+@query("daily_filled", FILLED.format(unit="day", src=SPARSE), days=("period",))
 def daily_filled(spark, sf):
     return ac.filled_counts(sparse_times(spark, sf), "ts", "day")
 
 
-@query("weekly_filled", FILLED.format(unit="week", src=SPARSE))
+@query("weekly_filled", FILLED.format(unit="week", src=SPARSE), days=("period",))
 def weekly_filled(spark, sf):
     return ac.filled_counts(sparse_times(spark, sf), "ts", "week")
 
@@ -130,12 +130,12 @@ z as (select *, round((posts - avg(posts) over ()) / nullif({sd}(posts) over (),
 select period, posts, z, coalesce(z > 2, false) as spike from z"""
 
 
-@query("activity_spikes", SPIKES.format(sd="stddev_pop"))
+@query("activity_spikes", SPIKES.format(sd="stddev_pop"), days=("period",))
 def activity_spikes(spark, sf):
     return ac.spikes(table(spark, sf, "orders", "o_orderdate"), "o_orderdate")
 
 
-@query("activity_spikes_sample", SPIKES.format(sd="stddev_samp"))
+@query("activity_spikes_sample", SPIKES.format(sd="stddev_samp"), days=("period",))
 def activity_spikes_sample(spark, sf):
     return ac.spikes(table(spark, sf, "orders", "o_orderdate"), "o_orderdate", sample=True)
 
@@ -157,7 +157,7 @@ with {DATED}, w as (select cast(date_trunc('week', dateline) as date) as week, c
   from dated group by 1)
 select week, posts, round(mean_len, 4) as mean_len, round(caps, 6) as caps, round(excl, 6) as excl,
   round(""" + " + ".join(f"coalesce(({c} - avg({c}) over ()) / nullif(stddev_samp({c}) over (), 0), 0)"
-                          for c in ("posts", "mean_len", "caps", "excl")) + ", 4) as activation from w")
+                          for c in ("posts", "mean_len", "caps", "excl")) + ", 4) as activation from w", days=("week",))
 def activation_weekly(spark, sf):
     return ac.activation(dated_texts(spark, sf))
 
@@ -168,7 +168,7 @@ EVENT_ROWS = [("first", "1996-05-06"), ("second", "1997-11-10"), ("third", "1999
 @query("event_overlay", """
 with c as (select cast(date_trunc('week', o_orderdate) as date) as period, count(*) as posts from orders group by 1),
 e as (select * from (values """ + ", ".join(f"('{a}', date '{d}')" for a, d in EVENT_ROWS) + """) t(label, period))
-select period, posts, label from c left join e using (period)""")
+select period, posts, label from c left join e using (period)""", days=("period",))
 def event_overlay(spark, sf):
     weeks = ac.period_counts(table(spark, sf, "orders", "o_orderdate"), "o_orderdate", "week")
     events = spark.createDataFrame(EVENT_ROWS, "label string, day string").select(
@@ -244,9 +244,10 @@ def tz_profile(spark, sf):
 with {TZ_POSTS}, cc as (select n.userid, t.h, count(hr) as k from n cross join range(24) t(h)
   left join tzp on tzp.userid = n.userid and tzp.hr = t.h group by 1, 2),
 r as (select userid, h, row_number() over (partition by userid order by k desc, h) as rk from cc)
-select userid, list(cast(h as int) order by rk) as peak_hours from r where rk <= 3 group by 1""")
+select userid, string_agg(cast(h as varchar), ',' order by rk) as peak_hours from r where rk <= 3 group by 1""")
 def peak_hours(spark, sf):
-    return ac.peak_hours(tz_posts(spark, sf))
+    return ac.peak_hours(tz_posts(spark, sf)).withColumn(
+        "peak_hours", F.array_join(F.col("peak_hours").cast("array<string>"), ","))
 
 
 @query("hour_similarity", f"""

@@ -117,10 +117,7 @@ select 'board' as forum, cast(c_custkey as varchar) as userid,
   case when c_custkey % 7 = 0 then c_name else upper(c_name) end as username,
   case when c_custkey % 5 = 0 then null
        else make_timestamp(cast(946684800 + c_custkey * 3600 as bigint) * 1000000) end as joindate,
-  cast(null as timestamp) as lastactivity, cast(null as timestamp) as lastpost,
-  cast(c_nationkey as bigint) as posts, cast(null as bigint) as reputation,
-  cast(null as bigint) as timezoneoffset, cast(null as varchar) as usertitle
-from customer where c_nationkey <> 3""")
+  cast(c_nationkey as bigint) as posts from customer where c_nationkey <> 3""")
 def canonical_user(spark, sf):
     raw = table(spark, sf, "customer", "c_custkey", "c_name", "c_nationkey").selectExpr(
         "cast(c_custkey as string) member_id", "c_name as name",
@@ -128,7 +125,7 @@ def canonical_user(spark, sf):
         """case when c_custkey % 15 = 0 then '0' when c_custkey % 5 = 0 then 'abc'
            else cast(946684800 + c_custkey * 3600 as string) end as joined""",
         "cast(c_nationkey as string) as posts", "case when c_nationkey = 3 then '1' else '0' end as queued")
-    return can.canonical(raw, "ips", "user", "board")
+    return can.canonical(raw, "ips", "user", "board").select("forum", "userid", "username", "joindate", "posts")
 
 
 @query("pm_with_receiver", """

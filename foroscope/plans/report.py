@@ -369,13 +369,13 @@ def top_actors(spark, sf):
 
 
 @query("handle_exact", f"""
-{cte('handles')} select username, list_sort(list(distinct forum)) as forums,
+{cte('handles')} select username, array_to_string(list_sort(list(distinct forum)), ',') as forums,
   cast(count(distinct forum) as int) as n_forums from handles
 where length(username) >= 4 group by 1 having count(distinct forum) >= 2""")
 def handle_exact(spark, sf):
     from foroscope.operators.identity import exact_handles
 
-    return exact_handles(model.handles(spark, sf))
+    return exact_handles(model.handles(spark, sf)).withColumn("forums", F.array_join("forums", ","))
 
 
 @query("snapshot_transitions", """

@@ -29,22 +29,25 @@ pairs as (select a.actor as user_a, b.actor as user_b, a.grp as grp_a, b.grp as
   round(list_cosine_similarity(a.vec, b.vec), 6) as similarity from top a join top b on a.actor < b.actor),
 both_ways as (select user_a as actor, user_b as other, grp_a as grp, grp_b as other_grp, similarity from pairs
   union all select user_b, user_a, grp_b, grp_a, similarity from pairs)"""
-ROUND_VEC = "list_transform(vec, lambda x: round(x, 6)) as vec"
+LONG_VEC = " select actor, members, cast(i as int) as dim, round(x / norm, 6) as x from (select actor, i, x, members, " \
+           "sqrt(sum(x * x) over (partition by actor)) as norm from dims join cnt using (actor))"
 
 
-def rounded(df):
-    return df.withColumn("vec", F.transform("vec", lambda x: F.round(x, 6)))
+def by_dimension(df):
+    """Vectors as rows (actor, members, dim, x)."""
+    return df.select("actor", "members", F.posexplode("vec").alias("dim", "x")).withColumns(
+        {"dim": F.col("dim") + 1, "x": F.round("x", 6)})
 
 
-@query("actor_centroids", ACTORS + f" select actor, members, {ROUND_VEC} from cen")
+@query("actor_centroids", ACTORS + LONG_VEC)
 def actor_centroids(spark, sf):
-    return rounded(actors(spark, sf)).select("actor", "members", "vec")
+    return by_dimension(actors(spark, sf))
 
 
 @query("actor_means", cte("vectors") + "," + CENTROID.format(n="", rel="vectors") + """
- select actor, list(round(x, 6) order by i) as vec from dims group by 1""")
+ select actor, members, cast(i as int) as dim, round(x, 6) as x from dims join cnt using (actor)""")
 def actor_means(spark, sf):
-    return rounded(vx.centroids(actor_vectors(spark, sf), "actor", normalise=False)).select("actor", "vec")
+    return by_dimension(vx.centroids(actor_vectors(spark, sf), "actor", normalise=False))
 
 
 SAMPLED = """ranked as (select v.*, row_number() over (partition by actor order by length(text) desc, vec_id) as rk
@@ -58,10 +61,9 @@ def sampled(spark, sf):
     return vx.sampled_centroids(rows, "actor", "chars", "vec_id", 20, carry=("grp",))
 
 
-@query("sampled_centroids", cte("vectors") + "," + SAMPLED + "," + CENTROID.format(n="", rel="longest")
-       + f" select actor, members, {ROUND_VEC} from cen")
+@query("sampled_centroids", cte("vectors") + "," + SAMPLED + "," + CENTROID.format(n="", rel="longest") + LONG_VEC)
 def sampled_centroids(spark, sf):
-    return rounded(sampled(spark, sf)).select("actor", "members", "vec")
+    return by_dimension(sampled(spark, sf))
 
 
 @query("cosine_pairs", ACTORS + " select * from pairs")

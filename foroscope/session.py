@@ -50,4 +50,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stage_path = path
+    return out
+
+
+def restage(df: DataFrame, name: str, previous: DataFrame) -> DataFrame:
+    """Stage the next state of a loop and delete the table it replaces, so disk use stays level."""
+    out = stage(df, name)
+    spark = df.sparkSession
+    old = spark._jvm.org.apache.hadoop.fs.Path(previous.stage_path)
+    old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    return out
