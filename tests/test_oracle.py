@@ -1,6 +1,5 @@
 """Every query with reference SQL against DuckDB, on the given tables and on a skewed copy of them."""
 
-import duckdb
 import pytest
 from check import TABLES, compare, connect
 from conftest import SF
@@ -64,8 +63,3 @@ def skewed(tmp_path_factory):
 def test_matches_sql_under_skew(spark, skewed, name):
     ok, message, _ = compare(spark, connect(skewed), name, QUERIES[name], ORACLES[name], skewed)
     assert ok, message
-
-
-def test_duckdb_has_all_tables(con):
-    assert isinstance(con, duckdb.DuckDBPyConnection)
-    assert con.sql("select count(*) from lineitem").fetchone()[0] > 0
