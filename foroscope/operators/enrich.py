@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foroscope.operators.sample import hash_order
+from foroscope.session import ship_by_value
 from foroscope.sources.combine import path_exists, pending
 
+ship_by_value(__name__)
+
 
 def score_rows(df: DataFrame, key: str, text: str, scorer: Callable[[pd.Series], pd.Series]) -> DataFrame:
     """Raw label per row from a function of a text batch; Arrow batches, no row-at-a-time calls."""

@@ -145,7 +145,7 @@ DATED = """dated as (select doc_id, text as pagetext,
 
 
 def dated_texts(spark, sf):
-    return table(spark, sf, "documents", "doc_id", "text").selectExpr(
+    return model.spread(table(spark, sf, "documents", "doc_id", "text"), "doc_id").selectExpr(
         "doc_id", "text as pagetext", "timestamp_seconds(1325376000 + doc_id * 43200) as dateline")
 
 
@@ -202,9 +202,7 @@ def hourly_activity(spark, sf):
     return model.posts(spark, sf).groupBy("forum", F.hour("dateline").alias("hour")).agg(F.count("*").alias("posts"))
 
 
-# posts of the time-zone queries: the hours are bent per user so that profiles differ
-TZ_POSTS = """tzp as (select user_id as userid, hour(ts) as hr from events
-  where (hour(ts) + user_id) % 24 < 14 or event_id % 10 = 0),
+TZ_POSTS = """tzp as (select user_id as userid, hour(ts) as hr from events),
 n as (select userid, count(*) as post_count from tzp group by 1),
 sc as (select userid, o, count(*) filter (where (hr + o + 24) % 24 between 8 and 23) as score
   from tzp, (select unnest(range(-12, 13)) as o) group by 1, 2),
@@ -213,13 +211,9 @@ prof as (select userid, post_count, case when post_count >= 5 then cast(o as int
   from n join best using (userid))"""
 
 
-def tz_posts(spark, sf):
-    return model.posts(spark, sf).filter("(hour(dateline) + userid) % 24 < 14 or postid % 10 = 0")
-
-
 @query("utc_offset", f"with {TZ_POSTS} select * from prof")
 def utc_offset(spark, sf):
-    return ac.hour_counts(tz_posts(spark, sf)).select(
+    return ac.hour_counts(model.posts(spark, sf)).select(
         "userid", "post_count", ac.utc_offset("hours", "post_count").alias("utc_offset"))
 
 
@@ -234,7 +228,7 @@ select userid, post_count, utc_offset, {REGION_SQL} as region, activity_hours,
   cast(userid % 25 - 12 as int) as declared_offset, userid % 25 - 12 <> utc_offset as mismatch
 from prof join hrs using (userid)""")
 def tz_profile(spark, sf):
-    posts = tz_posts(spark, sf)
+    posts = model.posts(spark, sf)
     declared = table(spark, sf, "customer", "c_custkey").selectExpr(
         "c_custkey as userid", "cast(c_custkey % 25 - 12 as int) as declared_offset")
     return ac.tz_profile(posts, declared)
@@ -246,7 +240,7 @@ with {TZ_POSTS}, cc as (select n.userid, t.h, count(hr) as k from n cross join r
 r as (select userid, h, row_number() over (partition by userid order by k desc, h) as rk from cc)
 select userid, string_agg(cast(h as varchar), ',' order by rk) as peak_hours from r where rk <= 3 group by 1""")
 def peak_hours(spark, sf):
-    return ac.peak_hours(tz_posts(spark, sf)).withColumn(
+    return ac.peak_hours(model.posts(spark, sf)).withColumn(
         "peak_hours", F.array_join(F.col("peak_hours").cast("array<string>"), ","))
 
 
@@ -261,4 +255,4 @@ select user_a, user_b, round(coalesce(dot, 0) / (na * nb), 6) as similarity,
   round(coalesce(dot, 0) / (na * nb), 6) >= 0.9 as match
 from p left join d on ua = user_a and ub = user_b""")
 def hour_similarity(spark, sf):
-    return ac.hour_similarity(tz_posts(spark, sf))
+    return ac.hour_similarity(model.posts(spark, sf))

@@ -10,6 +10,7 @@ from foroscope.operators import edges as ed
 from foroscope.operators import enrich as en
 from foroscope.operators import graph as gr
 from foroscope.operators import identity as idn
+from foroscope.operators import report as rp
 from foroscope.operators import signals as sg
 from foroscope.operators import texts as tx
 from foroscope.operators import vectors as vx
@@ -33,17 +34,17 @@ def identity_candidates(spark, sf):
 
 
 def user_vectors(spark, sf):
-    """Every user of source A owns the vector of the same number, of source B the one 250 further on."""
+    """Every user owns the vector of the same number, in source B with its halves swapped."""
     v = table(spark, sf, "embeddings", "vec_id", "embedding")
     a = v.select(F.lit("A").alias("forum"), F.col("vec_id").alias("userid"), F.col("embedding").alias("vec"))
-    b = v.filter("vec_id >= 250").select(F.lit("B").alias("forum"), (F.col("vec_id") - 250).alias("userid"),
-                                         F.col("embedding").alias("vec"))
+    halves = F.concat(F.slice("embedding", 33, 32), F.slice("embedding", 1, 32))
+    b = v.select(F.lit("B").alias("forum"), F.col("vec_id").alias("userid"), halves.alias("vec"))
     return a.unionByName(b)
 
 
 @query("exact_enriched", cte("handles") + """,
 v as (select 'A' as forum, vec_id as userid, embedding as vec from embeddings
-  union all select 'B', vec_id - 250, embedding from embeddings where vec_id >= 250),
+  union all select 'B', vec_id, list_concat(embedding[33:64], embedding[1:32]) from embeddings),
 k as (select forum, username, vec from handles join v using (forum, userid))
 select a.username as handle_a, 'A' as forum_a, b.username as handle_b, 'B' as forum_b, 1.0::double as handle_sim,
   'exact' as match_type, round(list_cosine_similarity(a.vec::double[], b.vec::double[]), 6) as embedding_sim
@@ -92,9 +93,7 @@ def pair_crosscheck(spark, sf):
     suspects = tx.delta_suspects(tx.delta_pairs(posts), share=0.1)
     owner = table(spark, sf, "documents", "doc_id", "source").selectExpr("doc_id as vec_id", "source as userid")
     found = stage(vx.vector_clusters(actor_vectors(spark, sf), "vec_id", k=4).join(owner, "vec_id"), "clusters")
-    from foroscope.operators.report import dominant_label
-
-    clusters = dominant_label(found, "userid", "cluster").select("userid", "cluster")
+    clusters = rp.dominant_label(found, "userid", "cluster").select("userid", "cluster")
     events = model.posts(spark, sf).withColumn("userid", F.concat(F.lit("src"), F.col("userid") % 20))
     messages = events.select(F.col("userid").alias("src"),
                              F.concat(F.lit("src"), F.col("section") % 20).alias("dst"))

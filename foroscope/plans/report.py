@@ -11,6 +11,7 @@ from foroscope.plans.clean import RAW_POSTS, raw_posts
 from foroscope.plans.registry import query
 from foroscope.session import stage
 from foroscope.operators.clean import clean_posts
+from foroscope.operators.identity import exact_handles
 
 # ---- joins
 
@@ -61,11 +62,11 @@ def reputation_named(spark, sf):
 
 @query("case_enriched", """
 select o_orderkey as id, c_mktsegment as variant, n_name as operator from orders
-left join (select * from customer where c_custkey % 11 <> 0) on o_custkey = c_custkey
+left join (select * from customer where c_mktsegment <> 'MACHINERY') on o_custkey = c_custkey
 left join nation on c_nationkey = n_nationkey""")
 def case_enriched(spark, sf):
     cases = table(spark, sf, "orders", "o_orderkey", "o_custkey")
-    builds = table(spark, sf, "customer", "c_custkey", "c_mktsegment", "c_nationkey").filter("c_custkey % 11 <> 0")
+    builds = table(spark, sf, "customer", "c_custkey", "c_mktsegment", "c_nationkey").filter("c_mktsegment <> 'MACHINERY'")
     operators = table(spark, sf, "nation", "n_nationkey", "n_name")
     return (cases.join(builds, F.col("o_custkey") == F.col("c_custkey"), "left")
             .join(operators, F.col("c_nationkey") == F.col("n_nationkey"), "left")
@@ -373,8 +374,6 @@ def top_actors(spark, sf):
   cast(count(distinct forum) as int) as n_forums from handles
 where length(username) >= 4 group by 1 having count(distinct forum) >= 2""")
 def handle_exact(spark, sf):
-    from foroscope.operators.identity import exact_handles
-
     return exact_handles(model.handles(spark, sf)).withColumn("forums", F.array_join("forums", ","))
 
 

@@ -1,11 +1,18 @@
 """Session settings and the shared folder for written stages."""
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship_by_value(module: str) -> None:
+    """Send a module's functions to the executors by value, which need not have this package installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def build_session(master: str | None = None, app: str = "foroscope", **conf) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foroscope.functions.text import local_part, strip
+from foroscope.session import ship_by_value
+
+ship_by_value(__name__)
 
 
 def fragments(spark: SparkSession, path: str, separator: str) -> DataFrame:
@@ -175,7 +178,7 @@ def read_kv_blocks(spark: SparkSession, path: str, source: str) -> DataFrame:
     block = F.regexp_extract("value", r"(?s)\{([^{}]*)$", 1)
     raw = fragments(spark, path, "}").filter(F.col("value").contains("{")).select(block.alias("b"))
 
-    def field(name):
+    def field(name):  # a value ends at the comma that closes its line
         return F.regexp_extract("b", rf"{name}:\s*(.+?),\s*\n", 1)
 
     rows = raw.filter(F.col("b").contains("message:")).select(
