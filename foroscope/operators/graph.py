@@ -38,6 +38,8 @@ def components(edges: DataFrame, nodes: DataFrame | None = None, max_rounds: int
         if seen == mark:
             break
         mark = seen
+    else:
+        raise RuntimeError(f"components not settled after {max_rounds} rounds")
     members = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     found = members.unionByName(roots)
@@ -78,8 +80,8 @@ def distances(arcs: DataFrame, pivots: DataFrame, max_rounds: int = 200) -> Data
             "pivot", "node", F.when(better, F.col("cand")).otherwise(F.col("dist")).alias("dist"),
             F.when(better, F.lit(step)).otherwise(F.col("round")).alias("round")), "dist", known)
         if known.filter(F.col("round") == step).limit(1).count() == 0:
-            break
-    return known.select("pivot", "node", "dist")
+            return known.select("pivot", "node", "dist")
+    raise RuntimeError(f"distances not settled after {max_rounds} rounds")
 
 
 def _spread_sums(start: DataFrame, steps: DataFrame, name: str) -> list[DataFrame]:

@@ -1,7 +1,6 @@
 """Session settings and the shared folder for written stages."""
 
 import sys
-import tempfile
 import uuid
 
 from pyspark import cloudpickle
@@ -32,17 +31,9 @@ def build_session(master: str | None = None, app: str = "foroscope", **conf) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: the session's ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a temporary folder of its own.
-    """
+    """Folder every executor can reach: the session's ``spark.checkpoint.dir``, else its warehouse folder."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="foroscope-"))
-    return spark.sparkContext.getCheckpointDir()
+    return named or spark.conf.get("spark.sql.warehouse.dir")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -62,10 +53,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def drop_stage(staged: DataFrame) -> None:
+    """Delete a staged table that nothing reads any more."""
+    spark = staged.sparkSession
+    old = spark._jvm.org.apache.hadoop.fs.Path(staged.stage_path)
+    old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+
+
 def restage(df: DataFrame, name: str, previous: DataFrame) -> DataFrame:
     """Stage the next state of a loop and delete the table it replaces, so disk use stays level."""
     out = stage(df, name)
-    spark = df.sparkSession
-    old = spark._jvm.org.apache.hadoop.fs.Path(previous.stage_path)
-    old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    drop_stage(previous)
     return out

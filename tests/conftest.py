@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -17,7 +18,8 @@ def spark():
     from foroscope.session import build_session
 
     session = build_session("local[8]", "tests", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
-                            spark__ui__showConsoleProgress="false", spark__driver__memory="8g")
+                            spark__ui__showConsoleProgress="false", spark__driver__memory="8g",
+                            spark__checkpoint__dir=tempfile.mkdtemp(prefix="checkpoints-"))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
