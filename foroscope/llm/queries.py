@@ -1,6 +1,6 @@
 """Queries of the training-data operators over the test tables, each with its SQL where one exists."""
 
-from foroscope.llm import decontaminate, lines, mixing
+from foroscope.llm import decontaminate, lines, mixing, simhash
 from foroscope.llm.common import documents
 
 QUERIES: dict = {}
@@ -13,6 +13,7 @@ def register(name: str, fn, sql: str | None = None) -> None:
         ORACLES[name] = sql.strip()
 
 
+register("op1_simhash_groups", lambda spark, d: simhash.simhash_groups(documents(spark, d)))
 register("op2_source_mix", lambda spark, d: mixing.source_mix(documents(spark, d)), mixing.ORACLE)
 register("op4_benchmark_overlap", lambda spark, d: decontaminate.benchmark_overlap(
     documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet")), decontaminate.ORACLE)
