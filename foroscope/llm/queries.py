@@ -1,6 +1,7 @@
 """Queries of the training-data operators over the test tables, each with its SQL where one exists."""
 
-from foroscope.llm import decontaminate, lines, mixing, simhash
+import corpus_pipeline
+from foroscope.llm import decontaminate, lines, mixing, quality, simhash
 from foroscope.llm.common import documents
 
 QUERIES: dict = {}
@@ -17,4 +18,6 @@ register("op1_simhash_groups", lambda spark, d: simhash.simhash_groups(documents
 register("op2_source_mix", lambda spark, d: mixing.source_mix(documents(spark, d)), mixing.ORACLE)
 register("op4_benchmark_overlap", lambda spark, d: decontaminate.benchmark_overlap(
     documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet")), decontaminate.ORACLE)
+register("op9_quality", lambda spark, d: quality.classify(documents(spark, d), spark.read.parquet(f"{d}/labels.parquet")))
 register("op10_line_dedup", lambda spark, d: lines.line_dedup(documents(spark, d)), lines.ORACLE)
+register("pipeline", corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
