@@ -14,6 +14,21 @@ LAST_ID = 2**63 - 1
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+class Memo:
+    """A function that keeps its results in each Python process and is shipped without them."""
+
+    def __init__(self, fn):
+        self.fn, self.known = fn, {}
+
+    def __call__(self, *args):
+        if args not in self.known:
+            self.known[args] = self.fn(*args)
+        return self.known[args]
+
+    def __reduce__(self):
+        return Memo, (self.fn,)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -9,14 +9,13 @@ source. All offsets count code points. Each document is handled by itself; nothi
 import hashlib
 import re
 import unicodedata
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foroscope.llm.common import id_text, row_key, ship_by_value, to_batch
+from foroscope.llm.common import Memo, id_text, row_key, ship_by_value, to_batch
 
 ship_by_value(__name__)
 
@@ -47,7 +46,7 @@ PAIRS = (("at", "dot"), ("arobase", "point"), ("arroba", "punto"), ("(?:klammera
 NO_LABEL = r"(?!(?:the|a|an|of|on|in|is|and|to|it|or|for|with|was|that|this)(?![A-Za-z0-9-]))"
 
 
-@cache
+@Memo
 def single_characters() -> dict[int, str]:
     """Code point to its plain form: lookalikes, full-width and other compatibility forms of ASCII."""
     table = {ord(a): b for a, b in LOOKALIKES.items()}
@@ -73,7 +72,7 @@ def single_characters() -> dict[int, str]:
     return table
 
 
-@cache
+@Memo
 def odd_table() -> np.ndarray:
     flags = np.zeros(0x110000, bool)
     flags[list(single_characters())] = True

@@ -28,6 +28,7 @@ MIN_DOCS = 4  # a listed word is held by so many yes documents of its part
 ODDS = 20  # and so many times as often as in no documents
 TRUST = 0.98  # a given label is right at least so often
 YES, NO, NONE = 1, 0, -1
+BIAS = -1  # in place of a feature
 MARKS = bytes(b for b in range(256) if not (48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 or b == 32
                                             or 9 <= b <= 13))
 NOT_MARKS = bytes(b for b in range(256) if b not in MARKS and b not in b" \t\n\x0b\x0c\r")
@@ -152,7 +153,7 @@ def fit_linear(rows: list[np.ndarray], target: np.ndarray, decay: float = 1.5, r
     owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
     names, index, seen = np.unique(np.concatenate([*rows, np.zeros(0, np.int32)]), return_inverse=True,
                                    return_counts=True)
-    index = np.where(seen >= LEAST, np.cumsum(seen >= LEAST) - 1, -1)[index]
+    index = np.where(seen >= LEAST, np.cumsum(seen >= LEAST) - 1, -1).astype(np.int32)[index]
     names, owner, index = names[seen >= LEAST], owner[index >= 0], index[index >= 0]
     weights, bias = np.zeros(len(names)), 0.0
     square, square_b = np.full(len(names), 1e-8), 1e-8
@@ -216,20 +217,43 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     is_labelled = F.coalesce("quality", "toxic").isNotNull()
     chosen = rows.filter(place < max(of_labelled, of_others)).join(given, "id", "left").filter(
         place < F.when(is_labelled, of_labelled).otherwise(of_others))
-    got = chosen.mapInArrow(featurise, "id long, votes array<byte>, form array<int>, words array<int>, quality byte, "
-                                       "toxic byte").toPandas().sort_values("id", kind="stable")
-    target = np.array([posterior.get((*v, NONE if np.isnan(q) else 1 - int(q)), 0.5) for v, q in zip(
-        got.votes, got.quality.astype(float), strict=True)])
-    marked = got[got.toxic.notna()]
-    words, truth = list(marked.words), marked.toxic.to_numpy(int)
-    fold = np.array([fold_of(i) for i in marked.id], int)
-    lists = listed_words(words, truth, fold)
-    votes = np.array([[*word_votes(w, lists, f), t] for w, f, t in zip(words, fold, truth, strict=True)], int).reshape(
-        -1, FOLDS + 1)
-    kinds, which, n = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
-    toxic, toxic_rate = expectation_maximisation(kinds, n.astype(float), 0.1)
-    return {"low": fit_linear(list(got.form), target), "toxic": fit_linear(words, toxic[which.ravel()]),
-            "low_rate": low_rate, "toxic_rate": toxic_rate}
+    features = chosen.mapInArrow(featurise, "id long, votes array<byte>, form array<int>, words array<int>, "
+                                            "quality byte, toxic byte")
+    got = features.repartition(1).mapInArrow(fit_sample(posterior), "name string, feature long, weight double").collect()
+    model = {"low_rate": low_rate, "toxic_rate": [r.weight for r in got if r.name == "rate"]}
+    for name in ("low", "toxic"):
+        weights = {r.feature: r.weight for r in got if r.name == name}
+        model[name] = weights, weights.pop(BIAS, -1.0)
+    return model
+
+
+def fit_sample(posterior: dict):
+    """Fits both scorers in one task, which holds the sample's features."""
+    schema = pa.schema([("name", pa.string()), ("feature", pa.int64()), ("weight", pa.float64())])
+
+    def run(batches):
+        parts = list(batches)
+        if not sum(p.num_rows for p in parts):
+            return
+        got = pa.Table.from_batches(parts).sort_by("id").to_pandas()
+        labelled = got.quality.notna()
+        gold = np.where(labelled, 1 - got.quality.fillna(0), NONE).astype(int)
+        target = np.array([posterior.get((*map(int, v), int(g)), 0.5) for v, g in zip(got.votes, gold, strict=True)])
+        marked = got[got.toxic.notna()]
+        words, truth = list(marked.words), marked.toxic.to_numpy(int)
+        fold = np.array([fold_of(i) for i in marked.id], int)
+        lists = listed_words(words, truth, fold)
+        votes = np.array([[*word_votes(w, lists, f), t] for w, f, t in zip(words, fold, truth, strict=True)],
+                         int).reshape(-1, FOLDS + 1)
+        kinds, which, n = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+        toxic, rate = expectation_maximisation(kinds, n.astype(float), 0.1)
+        yield to_batch(schema, ["rate"] * rate.size, range(rate.size), rate.ravel())
+        for name, rows, wanted in (("low", list(got.form), target), ("toxic", words, toxic[which.ravel()])):
+            if rows:
+                weights, bias = fit_linear(rows, wanted)
+                yield to_batch(schema, [name] * (len(weights) + 1), [BIAS, *weights], [bias, *weights.values()])
+
+    return run
 
 
 def probability(model: tuple[dict, float], features: list[int]) -> float:

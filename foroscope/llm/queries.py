@@ -1,7 +1,7 @@
 """Queries of the training-data operators over the test tables, each with its SQL where one exists."""
 
 import corpus_pipeline
-from foroscope.llm import decontaminate, lines, mixing, pii, quality, simhash
+from foroscope.llm import decontaminate, langid, lines, mixing, pii, projections, quality, simhash, suffixes
 from foroscope.llm.common import documents
 
 QUERIES: dict = {}
@@ -19,6 +19,9 @@ register("op2_source_mix", lambda spark, d: mixing.source_mix(documents(spark, d
 register("op4_benchmark_overlap", lambda spark, d: decontaminate.benchmark_overlap(
     documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet")), decontaminate.ORACLE)
 register("op5_personal_data", lambda spark, d: pii.find_personal_data(documents(spark, d)))
+register("op6_repeated_bytes", lambda spark, d: suffixes.repeated_bytes(documents(spark, d)))
+register("op7_languages", lambda spark, d: langid.languages(documents(spark, d)))
+register("op8_near_vectors", lambda spark, d: projections.near_vectors(spark.read.parquet(f"{d}/embeddings.parquet")))
 register("op9_quality", lambda spark, d: quality.classify(documents(spark, d), spark.read.parquet(f"{d}/labels.parquet")))
 register("op10_line_dedup", lambda spark, d: lines.line_dedup(documents(spark, d)), lines.ORACLE)
 register("pipeline", corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
