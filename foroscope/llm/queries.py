@@ -1,7 +1,7 @@
 """Queries of the training-data operators over the test tables, each with its SQL where one exists."""
 
 import corpus_pipeline
-from foroscope.llm import decontaminate, langid, lines, mixing, pii, projections, quality, simhash, suffixes
+from foroscope.llm import chaining, decontaminate, langid, lines, mixing, pii, projections, quality, simhash, suffixes
 from foroscope.llm.common import documents
 
 QUERIES: dict = {}
@@ -16,6 +16,7 @@ def register(name: str, fn, sql: str | None = None) -> None:
 
 register("op1_simhash_groups", lambda spark, d: simhash.simhash_groups(documents(spark, d)))
 register("op2_source_mix", lambda spark, d: mixing.source_mix(documents(spark, d)), mixing.ORACLE)
+register("op3_shared_passages", lambda spark, d: chaining.shared_passages(documents(spark, d)))
 register("op4_benchmark_overlap", lambda spark, d: decontaminate.benchmark_overlap(
     documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet")), decontaminate.ORACLE)
 register("op5_personal_data", lambda spark, d: pii.find_personal_data(documents(spark, d)))
