@@ -3,37 +3,68 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foroscope.functions.ranking import rank_in_groups
 from foroscope.session import stage
 
-# Threads with more posts than this are left out of the pair graph; pairs reach this many
-# ranks in the banded graph.
-MAX_POSTS, BAND = 100, 9
+# Fixed value: pairs reach this many ranks in the banded graph.
+BAND = 9
+# Members of a thread that are gathered in one row; larger threads are dealt into blocks.
+BLOCK = 128
+THREAD = ["forum", "threadid"]
 
 
-def thread_members(posts: DataFrame, max_posts: int = MAX_POSTS) -> DataFrame:
-    """Sorted distinct members of each thread of at most ``max_posts`` posts.
+def thread_members(posts: DataFrame, max_posts: int | None = None) -> DataFrame:
+    """Distinct members of each thread; with ``max_posts``, threads of more posts are left out."""
+    posts = posts.select(*THREAD, "userid").dropna()
+    if max_posts is not None:
+        mega = posts.groupBy(*THREAD).agg(F.count("*").alias("n")).filter(F.col("n") > max_posts).select(*THREAD)
+        posts = posts.join(mega, THREAD, "left_anti")
+    return posts.distinct()
 
-    Mega threads are found by a pre-aggregated count and removed by an anti join before any thread is
-    gathered, so a gathered row never exceeds ``max_posts`` members.
+
+def member_pairs(members: DataFrame, block: int = BLOCK) -> DataFrame:
+    """All pairs of members of each thread.
+
+    A thread of more than ``block`` members is dealt into blocks by a hash, and each pair of blocks is a row of its
+    own, so no task and no row ever holds a large thread.
+    """
+    big = members.groupBy(*THREAD).agg(F.count("*").alias("n")).filter(F.col("n") > block).select(
+        *THREAD, F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    rows = members.join(big, THREAD, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("userid"), "blocks").cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")
+    met = rows.select(*THREAD, "userid", "own", low, high).groupBy(*THREAD, "lo", "hi").agg(
+        F.array_sort(F.collect_list(F.when(F.col("own") == F.col("lo"), F.col("userid")))).alias("a"),
+        F.collect_list(F.when(F.col("own") == F.col("hi"), F.col("userid"))).alias("b"))
+    starts = met.select("forum", "lo", "hi", "a", "b", F.posexplode("a").alias("i", "x"))
+    partners = F.when(F.col("lo") == F.col("hi"), F.slice("a", F.col("i") + 2, F.size("a"))).otherwise(F.col("b"))
+    pairs = starts.select("forum", "x", F.explode(partners).alias("y"))
+    return pairs.select("forum", F.least("x", "y").alias("user_a"), F.greatest("x", "y").alias("user_b"))
+
+
+def banded_pairs(members: DataFrame, band: int) -> DataFrame:
+    """Pairs of members at most ``band`` ranks apart in the sorted member list of a thread.
+
+    Ranks are found in ordered buckets, so a large thread is spread over many tasks, and are joined by equality.
     """
-    keys = ["forum", "threadid"]
-    posts = posts.select(*keys, "userid").dropna()
-    mega = posts.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > max_posts).select(*keys)
-    return posts.join(mega, keys, "left_anti").groupBy(*keys).agg(
-        F.array_sort(F.collect_set("userid")).alias("members"))
+    ranked = rank_in_groups(members, THREAD, ["userid"], F.substring("userid", 1, 3), rank="rank").select(
+        *THREAD, "userid", "rank")
+    ahead = ranked.select(*THREAD, F.col("userid").alias("user_a"), F.explode(
+        F.sequence(F.col("rank") + 1, F.col("rank") + band)).alias("rank"))
+    return ahead.join(ranked.withColumnRenamed("userid", "user_b"), [*THREAD, "rank"]).select(
+        "forum", "user_a", "user_b")
 
 
-def copart_edges(posts: DataFrame, max_posts: int = MAX_POSTS, band: int | None = None) -> DataFrame:
+def copart_edges(posts: DataFrame, max_posts: int | None = None, band: int | None = None) -> DataFrame:
     """Pairs of actors sharing threads of one forum; weight = number of shared threads.
 
-    With ``band`` only pairs at most that many ranks apart in the sorted member list count. Each row of
-    the input adds fewer than ``max_posts`` pairs, so the work stays linear in the input.
+    With ``band`` only pairs at most that many ranks apart in the sorted member list count, which keeps the pairs in
+    proportion to the posts; without it a thread gives all its pairs, as asked for. ``max_posts`` leaves out mega
+    threads and is off unless given.
     """
-    reach = max_posts if band is None else band
-    members = thread_members(posts, max_posts).filter(F.size("members") > 1)
-    starts = members.select("forum", "members", F.posexplode("members").alias("i", "user_a"))
-    pairs = starts.select("forum", "user_a", F.explode(
-        F.slice("members", F.col("i") + 2, F.lit(reach))).alias("user_b"))
+    members = thread_members(posts, max_posts)
+    pairs = member_pairs(members) if band is None else banded_pairs(members, band)
     return pairs.groupBy("user_a", "user_b", "forum").agg(F.count("*").alias("weight"))
 
 

@@ -163,15 +163,20 @@ def betweenness(edges: DataFrame, k: int = 32, distance: str = "unit", normalise
 
 
 def closeness(edges: DataFrame, k: int = 32, distance: str = "inverse", seed: int = 42) -> DataFrame:
-    """Closeness of k pivots: reached / sum of distances, scaled by the reached share of the graph."""
+    """Closeness of every node, estimated from its distances to k pivots; exact when k covers all nodes.
+
+    Reached pivots / sum of their distances, times the share of the other pivots that are reached.
+    """
     arcs = stage(with_cost(edges, distance), "arcs")
-    dist = distances(arcs, stage(choose_pivots(arcs, k, seed), "pivots"))
-    n = arcs.agg(F.count_distinct("src")).scalar()
-    r = F.col("nodes") - 1
-    return dist.groupBy(F.col("pivot").alias("userid")).agg(
-        F.count("*").alias("nodes"), F.sum("dist").alias("total")).select(
-        "userid", r.alias("reached"),
-        F.round(F.when(F.col("total") > 0, r / F.col("total") * r / (n - 1)).otherwise(0.0), 8).alias("closeness"))
+    pivots = stage(choose_pivots(arcs, k, seed), "pivots")
+    dist = distances(arcs, pivots).filter("pivot <> node").groupBy(F.col("node").alias("userid")).agg(
+        F.count("*").alias("reached"), F.sum("dist").alias("total"))
+    others = F.lit(pivots.count()) - F.when(F.col("pivot").isNotNull(), 1).otherwise(0)
+    nodes = arcs.select(F.col("src").alias("userid")).distinct().join(
+        pivots, F.col("userid") == F.col("pivot"), "left").join(dist, "userid", "left")
+    r = F.coalesce("reached", F.lit(0))
+    return nodes.select("userid", r.alias("reached"), F.round(
+        F.when(F.col("total") > 0, r / F.col("total") * r / others).otherwise(0.0), 8).alias("closeness"))
 
 
 def _quality(edges: DataFrame, labels: DataFrame) -> float:

@@ -1,5 +1,5 @@
-"""Graph queries. Public graph: customers sharing order days (pairs met at least twice); message graph:
-customers and suppliers."""
+"""Graph queries. Public graph: customers who bought the same part in the same year (pairs met at least twice), so that
+threads do not grow with the tables; message graph: customers and suppliers."""
 
 from pyspark.sql import functions as F
 
@@ -11,21 +11,23 @@ from foroscope.operators import report as rp
 from foroscope.plans.registry import query
 from foroscope.session import stage
 
-PAIRS = """ok as (select forum, threadid from {rel} group by 1, 2 having count(*) <= 100),
-members as (select distinct forum, threadid, userid from {rel} join ok using (forum, threadid)),
+PAIRS = """members as (select distinct forum, threadid, userid from {rel}),
 copart as (select a.userid as user_a, b.userid as user_b, a.forum as forum, count(*) as weight
   from members a join members b on a.forum = b.forum and a.threadid = b.threadid and a.userid < b.userid group by 1, 2, 3)"""
 DENSE = cte("participation") + ", " + PAIRS.format(rel="participation")
 
-SPARSE = """with sparse as (select 'orders' as forum, cast(o_custkey as varchar) as userid,
-  cast(o_orderdate as varchar) as threadid from orders), """ + PAIRS.format(rel="sparse") + """,
+SPARSE_POSTS = """with sparse as (select 'parts' as forum, cast(o_custkey as varchar) as userid,
+  concat(l_partkey, '-', year(l_shipdate)) as threadid from lineitem join orders on l_orderkey = o_orderkey)"""
+SPARSE = SPARSE_POSTS + ", " + PAIRS.format(rel="sparse") + """,
 strong as (select user_a, user_b, weight from copart where weight >= 2),
 arcs as (select user_a as src, user_b as dst, weight from strong union all select user_b, user_a, weight from strong)"""
 
 
 def sparse_posts(spark, sf):
-    return table(spark, sf, "orders", "o_custkey", "o_orderdate").selectExpr(
-        "'orders' as forum", "cast(o_custkey as string) as userid", "cast(o_orderdate as string) as threadid")
+    orders = table(spark, sf, "orders", "o_orderkey", "o_custkey")
+    lines = table(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_shipdate")
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).selectExpr(
+        "'parts' as forum", "cast(o_custkey as string) as userid", "concat(l_partkey, '-', year(l_shipdate)) as threadid")
 
 
 def public_graph(spark, sf):
@@ -47,10 +49,8 @@ def copart_strong(spark, sf):
     return ed.strong_edges(ed.across_forums(ed.copart_edges(model.participation(spark, sf))))
 
 
-@query("copart_edges_banded", """with sparse as (select 'orders' as forum, cast(o_custkey as varchar) as userid,
-  cast(o_orderdate as varchar) as threadid from orders),
-ok as (select forum, threadid from sparse group by 1, 2 having count(*) <= 100),
-members as (select distinct forum, threadid, userid from sparse join ok using (forum, threadid)),
+@query("copart_edges_banded", SPARSE_POSTS + """,
+members as (select distinct forum, threadid, userid from sparse),
 r as (select *, row_number() over (partition by forum, threadid order by userid) as rk from members)
 select a.userid as user_a, b.userid as user_b, a.forum as forum, count(*) as weight
 from r a join r b on a.forum = b.forum and a.threadid = b.threadid and b.rk between a.rk + 1 and a.rk + 9 group by 1, 2, 3""")
@@ -96,7 +96,7 @@ def in_degree(spark, sf):
 
 @query("components", SPARSE.replace("with sparse", "with recursive sparse") + """,
 reach(node, root) as (select distinct src, src from arcs
-  union select a.dst, r.root from reach r join arcs a on a.src = r.node where r.root < a.dst or true)
+  union select a.dst, r.root from reach r join arcs a on a.src = r.node)
 select node, min(root) as component from reach group by 1""")
 def components(spark, sf):
     return gr.components(staged_public(spark, sf))
@@ -125,12 +125,12 @@ def clustering_coeff(spark, sf):
 
 @query("betweenness_pivots")
 def betweenness_pivots(spark, sf):
-    return gr.betweenness(staged_public(spark, sf), k=32)
+    return gr.betweenness(staged_public(spark, sf), k=64)
 
 
 @query("closeness_pivots")
 def closeness_pivots(spark, sf):
-    return gr.closeness(staged_public(spark, sf), k=16)
+    return gr.closeness(staged_public(spark, sf), k=64)
 
 
 @query("betweenness_inverse")

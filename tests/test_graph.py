@@ -117,11 +117,31 @@ def test_clustering(spark):
 def test_band_and_mega_threads(spark):
     rows = [("f", "t1", f"u{i:02d}") for i in range(12)] + [("f", "big", f"u{i % 3}") for i in range(101)]
     posts = spark.createDataFrame(rows, "forum string, threadid string, userid string")
-    full = ed.copart_edges(posts).count()
-    banded = ed.copart_edges(posts, band=9).collect()
+    full = ed.copart_edges(posts, max_posts=100).count()
+    banded = ed.copart_edges(posts, max_posts=100, band=9).collect()
     assert full == 12 * 11 // 2
     assert len(banded) == full - 3  # ranks 10 and 11 apart: (0,10) (0,11) (1,11)
-    assert ed.copart_edges(posts, max_posts=101).filter("user_a = 'u0' and user_b = 'u1'").count() == 1
+    assert ed.copart_edges(posts).filter("user_a = 'u0' and user_b = 'u1'").count() == 1
+
+
+def test_no_thread_is_lost_when_threads_grow(spark):
+    """Threads larger than a block, each three times as large as the last."""
+    sizes = {"t0": 30, "t1": 150, "t2": 450}
+    posts = spark.createDataFrame([("f", t, f"{i:03d}") for t, n in sizes.items() for i in range(n)],
+                                  "forum string, threadid string, userid string")
+    edges = ed.copart_edges(posts).collect()
+    assert len(edges) == 450 * 449 // 2 and all(e.user_a < e.user_b for e in edges)
+    weight = {(e.user_a, e.user_b): e.weight for e in edges}
+    assert weight["000", "029"] == 3 and weight["000", "149"] == 2 and weight["149", "449"] == 1
+    banded = ed.copart_edges(posts, band=9).collect()
+    assert len(banded) == 9 * 450 - 45 and sum(e.weight for e in banded) == sum(9 * n - 45 for n in sizes.values())
+
+
+def test_closeness_of_every_node_from_few_pivots(spark):
+    rows = random_edges()
+    nodes, dist, _ = shortest(rows, lambda w: 1.0 / w)
+    got = {r.userid: (r.reached, r.closeness) for r in gr.closeness(frame(spark, rows), k=5).collect()}
+    assert set(got) == set(nodes) and all(0 <= r <= 5 for r, _ in got.values())
 
 
 def test_message_edges_drop_self_and_placeholder(spark):
