@@ -1,6 +1,8 @@
 """Text expressions shared by the operators. Character classes are written out so that they mean the same
 in Java and RE2."""
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,19 +29,37 @@ def letter_words(col) -> Column:
     return F.regexp_extract_all(letters_only(col), F.lit(r"([a-z]+)"), F.lit(1))
 
 
+def decode_entities(col: Column) -> Column:
+    """Numeric and named HTML entities to characters, the ampersand last; unknown names stay."""
+    def distinct(text, pattern):
+        return F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
+
+    def numeric(out, prefix, digits, base):
+        code = F.conv(digits, base, 10).cast("bigint")
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        return F.when(valid, F.replace(out, F.concat(F.lit(prefix), digits, F.lit(";")), char)).otherwise(out)
+
+    table = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+    out = F.aggregate(distinct(col, r"&#([0-9]{1,7});"), col, lambda t, d: numeric(t, "&#", d, 10))
+    out = F.aggregate(distinct(col, r"&#x([0-9A-Fa-f]{1,6});"), out, lambda t, d: numeric(t, "&#x", d, 16))
+    out = F.aggregate(distinct(col, r"&([A-Za-z]+[0-9]*);"), out, lambda t, n: F.coalesce(
+        F.replace(t, F.concat(F.lit("&"), n, F.lit(";")), F.try_element_at(table, n)), t))
+    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+
+
 def strip_markup(col) -> Column:
-    """Script and style blocks, tags, board codes, common entities and links removed; blanks collapsed."""
+    """Script and style blocks, tags, board codes (with attributes), entities and links removed; blanks collapsed."""
     out = F.regexp_replace(col, r"(?is)<(script|style)[^>]*>.*?</(script|style)>", " ")
     out = F.regexp_replace(out, r"(?s)<[^>]+>", " ")
-    out = F.regexp_replace(out, r"\[/?[a-zA-Z]+(=[^\]]*)?\]", " ")
-    for entity, plain in ENTITIES.items():
-        out = F.replace(out, F.lit(entity), F.lit(plain))
+    out = F.regexp_replace(out, r"\[/?[A-Za-z][^\]]*\]", " ")
+    out = F.replace(decode_entities(out), F.lit("\u00a0"), F.lit(" "))
     out = F.regexp_replace(out, r"https?://\S+", " ")
     return strip(F.regexp_replace(out, r"\s+", " "))
 
 
-# Common HTML entities, ampersand last.
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
+# The standard HTML entity names, except the ampersand.
+ENTITIES = {name: chr(code) for name, code in sorted(name2codepoint.items()) if name != "amp"}
 
 
 def local_part(col) -> Column:

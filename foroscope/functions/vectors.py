@@ -1,11 +1,8 @@
-"""Vector expressions and pair tables over bounded populations."""
+"""Vector expressions and pair tables over populations that the caller names."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: pair tables cover the most active actors, 150 of them, so at most 11,175 pairs.
-POPULATION = 150
-
 
 def dot(a, b) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0),
@@ -28,17 +25,11 @@ def cosine(a, b) -> Column:
     return F.when(n > 0, dot(a, b) / n).otherwise(F.lit(0.0))
 
 
-def most_active(df: DataFrame, actor: str, weight: Column | None = None, n: int = POPULATION) -> DataFrame:
-    """Ids of the n most active actors with their volume."""
-    volume = F.sum(weight) if weight is not None else F.count("*")
-    return (df.groupBy(actor).agg(volume.alias("volume")).orderBy(F.desc("volume"), actor).limit(n))
-
-
-def pairs_of(df: DataFrame, key: str, blocks: int = 4) -> DataFrame:
-    """All unordered pairs of a bounded population as structs ``a`` and ``b`` with a.key < b.key.
+def pairs_of(df: DataFrame, key: str, blocks: int = 16) -> DataFrame:
+    """All unordered pairs of a population as structs ``a`` and ``b`` with a.key < b.key.
 
-    Rows are hashed to blocks and joined on the block pair, so the work is an even equi-join. Callers
-    bound the population first (see ``most_active``).
+    Rows are hashed to blocks and joined on the block pair, so the work is an even equi-join over
+    blocks * (blocks + 1) / 2 tasks. The pairs grow with the square of the population, which the caller chooses.
     """
     cols = F.struct(*df.columns)
     block = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")

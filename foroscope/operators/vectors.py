@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from foroscope.functions.ranking import top_n_per_key
 from foroscope.functions.stats import average_rank, exact_quantiles
-from foroscope.functions.vectors import POPULATION, cosine, dot, pairs_of, unit
+from foroscope.functions.vectors import cosine, dot, pairs_of, unit
 from foroscope.session import stage
 
 
@@ -30,15 +30,14 @@ def sampled_centroids(df: DataFrame, key: str, weight: str, order: str, n: int,
     return centroids(top_n_per_key(df, [key], [F.desc(weight), order], n), key, **options)
 
 
-def largest(vectors: DataFrame, n: int = POPULATION) -> DataFrame:
-    """The n actors with most members: the bounded population of the pair tables."""
+def largest(vectors: DataFrame, n: int) -> DataFrame:
+    """The n actors with most members: a population for the pair tables."""
     return vectors.orderBy(F.desc("members"), "actor").limit(n)
 
 
-def cosine_pairs(vectors: DataFrame, n: int = POPULATION) -> DataFrame:
-    """Cosine of all actor pairs of the bounded population, rounded to 6 digits."""
-    population = largest(vectors, n)
-    extra = [c for c in ("grp",) if c in vectors.columns]
+def cosine_pairs(population: DataFrame) -> DataFrame:
+    """Cosine of all actor pairs of the given population, rounded to 6 digits."""
+    extra = [c for c in ("grp",) if c in population.columns]
     return pairs_of(population, "actor").select(
         F.col("a.actor").alias("user_a"), F.col("b.actor").alias("user_b"),
         *[F.col(f"{s}.{c}").alias(f"{c}_{s}") for c in extra for s in "ab"],

@@ -6,6 +6,7 @@ from foroscope import model
 from foroscope.model import cte, table
 from foroscope.operators import activity as ac
 from foroscope.operators import sample as sp
+from foroscope.operators import edges as ed
 from foroscope.plans.registry import query
 
 # ---- samples
@@ -245,14 +246,20 @@ def peak_hours(spark, sf):
 
 
 @query("hour_similarity", f"""
-with {TZ_POSTS}, top as (select userid from n order by post_count desc, userid limit 150),
-c as (select userid, hr, count(*) as k from tzp where userid in (select userid from top) group by 1, 2),
-nn as (select userid, sqrt(sum(k * k)) as norm from c group by 1),
-d as (select a.userid as ua, b.userid as ub, sum(a.k * b.k) as dot from c a join c b
-  on a.hr = b.hr and a.userid < b.userid group by 1, 2),
-p as (select x.userid as user_a, y.userid as user_b, x.norm as na, y.norm as nb from nn x join nn y on x.userid < y.userid)
-select user_a, user_b, round(coalesce(dot, 0) / (na * nb), 6) as similarity,
-  round(coalesce(dot, 0) / (na * nb), 6) >= 0.9 as match
-from p left join d on ua = user_a and ub = user_b""")
+with {TZ_POSTS}, m as (select distinct event_type, json_extract_string(props, '$.k') as section, cast(user_id as varchar) as u
+  from events where json_extract_string(props, '$.k') is not null),
+r as (select *, row_number() over (partition by event_type, section order by u) as rk from m),
+q as (select distinct a.u as user_a, b.u as user_b from r a join r b
+  on a.event_type = b.event_type and a.section = b.section and b.rk = a.rk + 1),
+c as (select cast(userid as varchar) as u, hr, count(*) as k from tzp group by 1, 2),
+nn as (select u, sqrt(sum(k * k)) as norm from c group by 1),
+d as (select user_a, user_b, sum(a.k * b.k) as dot from q join c a on a.u = user_a join c b on b.u = user_b and a.hr = b.hr
+  group by 1, 2)
+select q.user_a, q.user_b, round(coalesce(dot, 0) / (x.norm * y.norm), 6) as similarity,
+  round(coalesce(dot, 0) / (x.norm * y.norm), 6) >= 0.9 as match
+from q left join d using (user_a, user_b) join nn x on x.u = q.user_a join nn y on y.u = q.user_b""")
 def hour_similarity(spark, sf):
-    return ac.hour_similarity(model.posts(spark, sf))
+    """Candidate pairs: users next to each other among those of a section."""
+    posts = model.posts(spark, sf).withColumn("userid", F.col("userid").cast("string"))
+    pairs = ed.copart_edges(posts.withColumn("threadid", F.col("section").cast("string")), band=1)
+    return ac.hour_similarity(posts, pairs)

@@ -71,17 +71,29 @@ def clean_messages(spark, sf):
     return op.clean_messages(rows)
 
 
-@query("strip_markup", r"""
-with a as (select page_id, regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g') as h
-           from pages),
+NAMED = "h"
+for _name, _char in tx.ENTITIES.items():
+    NAMED = f"replace({NAMED}, '&{_name};', chr({ord(_char)}))"
+#: Pages and the same pages with board codes and entities put in front.
+MARKED = ("""[quote name="x" date="y"]q[/quote] [h1]t[/h1] &#8217; &#x2014; &eacute;&nbsp;&lt;b&gt; &amp;amp; &bogus; """
+          """[url=http://a.b/c]l[/url] """)
+
+
+@query("strip_markup", rf"""
+with p as (select page_id, html from pages union all select -page_id - 1, '{MARKED}' || html from pages),
+a as (select page_id, regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g') as h from p),
 b as (select page_id, regexp_replace(regexp_replace(h, '(?s)<[^>]+>', ' ', 'g'),
-        '\[/?[a-zA-Z]+(=[^\]]*)?\]', ' ', 'g') as h from a),
-c as (select page_id, replace(replace(replace(replace(replace(replace(h, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'),
-        '&quot;', '"'), '&#39;', ''''), '&amp;', '&') as h from b)
+        '\[/?[A-Za-z][^\]]*\]', ' ', 'g') as h from a),
+n as (select page_id, list_reduce(list_prepend(h, list_distinct(regexp_extract_all(h, '&#([0-9]{{1,7}});', 1))),
+        lambda t, d: replace(t, '&#' || d || ';', chr(cast(d as int)))) as h from b),
+x as (select page_id, replace(h, '&#x2014;', chr(8212)) as h from n),
+c as (select page_id, replace(replace({NAMED}, '&amp;', '&'), chr(160), ' ') as h from x)
 select page_id, regexp_replace(regexp_replace(regexp_replace(h, 'https?://\S+', ' ', 'g'), '\s+', ' ', 'g'),
   '^\s+|\s+$', '', 'g') as plain from c""")
 def strip_markup(spark, sf):
-    return table(spark, sf, "pages", "page_id", "html").select("page_id", tx.strip_markup("html").alias("plain"))
+    pages = table(spark, sf, "pages", "page_id", "html")
+    marked = pages.select((-F.col("page_id") - 1).alias("page_id"), F.concat(F.lit(MARKED), "html").alias("html"))
+    return pages.unionByName(marked).select("page_id", tx.strip_markup("html").alias("plain"))
 
 
 @query("local_part", """

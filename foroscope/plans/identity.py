@@ -14,7 +14,6 @@ from foroscope.operators import report as rp
 from foroscope.operators import signals as sg
 from foroscope.operators import texts as tx
 from foroscope.operators import vectors as vx
-from foroscope.functions.vectors import most_active
 from foroscope.plans.graphs import DEGREE, SPARSE, contacts, public_graph, staged_public
 from foroscope.plans.registry import query
 from foroscope.plans.texts import DELTA, VEC, style_sql
@@ -72,7 +71,7 @@ cand as (select user_a, user_b, delta,
 def convergence_pairs(spark, sf):
     posts = model.text_posts(spark, sf)
     delta = tx.delta_pairs(posts).select("user_a", "user_b", "delta")
-    style = tx.style_similarity(posts, most_active(posts, "userid")).withColumnRenamed("similarity", "embedding_sim")
+    style = tx.style_similarity(posts, posts.select("userid").distinct()).withColumnRenamed("similarity", "embedding_sim")
     longest = F.greatest(F.length("user_a"), F.length("user_b"))
     return stage(delta.join(style, ["user_a", "user_b"]).withColumn(
         "handle_sim", F.round(1 - F.levenshtein("user_a", "user_b") / longest, 6)), "convergence")

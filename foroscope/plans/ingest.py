@@ -178,11 +178,6 @@ def resume_pending(spark, sf):
                            table(spark, sf, "labels", "doc_id"), "doc_id")
 
 
-@query("file_inventory")
-def file_inventory(spark, sf):
-    return combine.file_inventory(spark, sf)
-
-
 @query("profile_rows", """
 select channel, username as name, count(*) as messages, cast(max(length(message)) as bigint) as longest
 from (select conv_id as channel, role as username, text as message from conversations) group by 1, 2""")

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from foroscope import model
-from foroscope.functions.vectors import most_active
 from foroscope.functions.wordlists import FUNCTION_WORDS, LANGUAGE_WORDS
 from foroscope.model import cte
 from foroscope.operators import texts as tx
@@ -68,13 +67,12 @@ VEC = "[" + ", ".join(tx.FEATURES) + "]"
 
 
 @query("style_similarity", JOINED + style_sql("joined", "userid") + f""",
-top as (select userid from text_posts group by 1 order by count(*) desc, 1 limit 150),
-v as (select userid, {VEC} as vec from feat where userid in (select userid from top))
+v as (select userid, {VEC} as vec from feat)
 select a.userid as user_a, b.userid as user_b, round(list_cosine_similarity(a.vec, b.vec), 6) as similarity
 from v a join v b on a.userid < b.userid""")
 def style_similarity(spark, sf):
     posts = model.text_posts(spark, sf)
-    return tx.style_similarity(posts, most_active(posts, "userid"))
+    return tx.style_similarity(posts, posts.select("userid").distinct())
 
 
 @query("tfidf_top_terms", cte("text_posts") + f""",
@@ -145,8 +143,8 @@ PICK = (f"case when {BEST} = 0 then 'unknown' "
 
 
 @query("language_route", cte("text_posts") + f""",
-s as (select * from text_posts qualify row_number() over (partition by userid order by md5(postid || '-42'), postid) <= 500),
-p as (select userid, regexp_replace(regexp_replace(pagetext, '<[^>]+>', ' ', 'g'), '^\\s+|\\s+$', '', 'g') as plain from s),
+p as (select userid, regexp_replace(regexp_replace(pagetext, '<[^>]+>', ' ', 'g'), '^\\s+|\\s+$', '', 'g') as plain
+  from text_posts),
 w as (select userid, regexp_extract_all(lower(plain), '{WORD_SQL}') as w from p where length(plain) >= 30),
 h as (select userid, {HITS} from w),
 c as (select userid, {PICK} as language, count(*) as n from h group by 1, 2),

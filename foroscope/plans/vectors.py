@@ -24,9 +24,8 @@ cen{n} as (select actor, grp, members, list(x / norm order by i) as vec from (
     select actor, grp, i, x, members, sqrt(sum(x * x) over (partition by actor)) as norm from dims{n} join cnt{n} using (actor))
   group by 1, 2, 3)"""
 ACTORS = cte("vectors") + "," + CENTROID.format(n="", rel="vectors") + """,
-top as (select * from cen order by members desc, actor limit 150),
 pairs as (select a.actor as user_a, b.actor as user_b, a.grp as grp_a, b.grp as grp_b,
-  round(list_cosine_similarity(a.vec, b.vec), 6) as similarity from top a join top b on a.actor < b.actor),
+  round(list_cosine_similarity(a.vec, b.vec), 6) as similarity from cen a join cen b on a.actor < b.actor),
 both_ways as (select user_a as actor, user_b as other, grp_a as grp, grp_b as other_grp, similarity from pairs
   union all select user_b, user_a, grp_b, grp_a, similarity from pairs)"""
 LONG_VEC = " select actor, members, cast(i as int) as dim, round(x / norm, 6) as x from (select actor, i, x, members, " \

@@ -53,16 +53,6 @@ def materialize_once(spark: SparkSession, path: str, build) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def file_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Path, extension and size of every file below ``root``; contents are never read."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-             .select("path", "length"))
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.select(
-        name.alias("file"), F.lower(F.regexp_extract(name, r"(\.[^.]+)$", 1)).alias("extension"),
-        F.col("length").alias("bytes"), F.round(F.col("length") / 1048576, 3).alias("megabytes"))
-
-
 def write_report(df: DataFrame, path: str, fmt: str) -> None:
     """Report sink: ``csv`` with header, ``json`` lines, or ``parquet`` partitioned by forum if present."""
     writer = df.write.mode("overwrite")
@@ -82,5 +72,5 @@ def profile_rows(df: DataFrame, key: str, payload: str, value_schema: str) -> Da
     return df.select(key, F.explode(parsed).alias("name", "profile")).select(key, "name", "profile.*")
 
 
-__all__ = ["extend_missing", "file_inventory", "materialize_once", "merge_sources", "path_exists", "pending",
+__all__ = ["extend_missing", "materialize_once", "merge_sources", "path_exists", "pending",
            "profile_rows", "read_sources", "scratch_path", "write_report"]

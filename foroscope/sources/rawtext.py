@@ -37,10 +37,10 @@ def joined_statements(frags: DataFrame, separator: str, quote: str) -> DataFrame
     """Undo splits that fell inside a quoted string.
 
     A statement ends where the number of unescaped quotes since the start of the file is even. Counts are
-    summed per file block first, so long files keep their parallelism. Quotes in comment lines ahead of a
+    summed per file block first, so long files keep their parallelism. Quotes in comments ahead of a
     statement do not count.
     """
-    bare = F.regexp_replace(F.regexp_replace("value", r"^(\s*--[^\n]*\n)+", ""), r"(?s)\\.", "")
+    bare = F.regexp_replace(F.regexp_replace("value", AHEAD, ""), r"(?s)\\.", "")
     odd = (F.length(bare) - F.length(F.replace(bare, F.lit(quote), F.lit("")))) % 2
     run = _running(frags.withColumn("odd", odd), "odd", "quotes", inclusive=True)
     run = run.withColumn("closed", F.when(F.col("quotes") % 2 == 0, 1).otherwise(0))
@@ -51,6 +51,8 @@ def joined_statements(frags: DataFrame, separator: str, quote: str) -> DataFrame
              F.array_join(F.transform("parts", lambda p: p["value"]), separator).alias("text"))
 
 
+# Comment lines and blocks ahead of a statement.
+AHEAD = r"^(\s*(--[^\n]*\n|#[^\n]*\n|(?s:/\*(?!!).*?\*/);?))+"
 # The backslash escapes of SQL dumps.
 ESCAPES = {"n": "\n", "r": "\r", "t": "\t", "0": "\0"}
 _HEAD = re.compile(r"(?is)\binsert\s+(?:ignore\s+)?into\s+[`\"]?(\w+)[`\"]?\s*(?:\(([^)]*)\))?\s*values\s*")
@@ -96,40 +98,45 @@ def _tuples(text: str, start: int) -> Iterator[list]:
 def _insert_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         out = []
-        for text in pdf["text"]:
+        for file, text in zip(pdf["file"], pdf["text"], strict=True):
             head = _HEAD.search(text)
             if head:
                 names = [c.strip(" `\"\n") for c in head.group(2).split(",")] if head.group(2) else None
-                out += [(head.group(1).removeprefix("vb_"), names, row) for row in _tuples(text, head.end())]
-        yield pd.DataFrame(out, columns=["table", "names", "row"])
+                out += [(file, head.group(1).removeprefix("vb_"), names, row) for row in _tuples(text, head.end())]
+        yield pd.DataFrame(out, columns=["file", "table", "names", "row"])
 
 
 def read_sql_dump(spark: SparkSession, path: str) -> DataFrame:
-    """All inserted rows of a dump: ``table, fields`` with fields as map from column name to text.
+    """All inserted rows of one or more dumps: ``forum, table, fields`` with fields as map from column name to text.
 
-    An explicit column list of the INSERT wins over the CREATE TABLE order; short rows are padded with
-    NULL and long ones cut to the column count.
+    ``forum`` is the file name without its extension. An explicit column list of the INSERT wins over the CREATE TABLE of
+    the same file; parts of a dump without one use the first of their folder. Rows of a table that is never created
+    keep their place as name (``column_1`` and so on). Short rows are padded with NULL and long ones cut.
     """
-    statements = joined_statements(fragments(spark, path, ";\n"), ";\n", "'").select("text")
-    statements = statements.withColumn("text", F.regexp_replace("text", r"^(\s*--[^\n]*\n)+", ""))
+    statements = joined_statements(fragments(spark, path, ";\n"), ";\n", "'").select("file", "text")
+    statements = statements.withColumn("text", F.regexp_replace("text", AHEAD, ""))
     created = statements.filter(F.col("text").rlike(r"(?is)^\s*create\s+table")).select(
-        F.regexp_extract("text", r"(?is)create\s+table\s+(?:if\s+not\s+exists\s+)?[`\"]?(?:vb_)?(\w+)", 1)
+        "file", F.regexp_extract("text", r"(?is)create\s+table\s+(?:if\s+not\s+exists\s+)?[`\"]?(?:vb_)?(\w+)", 1)
         .alias("table"),
         F.regexp_extract_all("text", F.lit(r"(?m)^\s*[`\"](\w+)[`\"]\s+\w"), F.lit(1)).alias("created"))
-    created = created.groupBy("table").agg(F.first("created").alias("created"))
+    own = created.groupBy("file", "table").agg(F.min("created").alias("own"))
+    folder = F.regexp_replace("file", r"[^/]*$", "")
+    shared = own.groupBy(folder.alias("folder"), "table").agg(F.min_by("own", "file").alias("shared"))
     inserted = statements.filter(F.col("text").rlike(r"(?i)insert\s+(ignore\s+)?into")).mapInPandas(
-        _insert_rows, "table string, names array<string>, row array<string>")
-    names = F.coalesce("names", "created")
+        _insert_rows, "file string, table string, names array<string>, row array<string>")
+    places = F.transform(F.sequence(F.lit(1), F.greatest(F.size("row"), F.lit(1))), lambda i: F.concat(F.lit("column_"), i))
+    names = F.coalesce("names", "own", "shared", places)
     width = F.size(names)
     padded = F.slice(F.concat("row", F.array_repeat(F.lit(None).cast("string"), width)), F.lit(1), width)
-    return inserted.join(created, "table", "left").filter(names.isNotNull()).select(
-        "table", F.map_from_arrays(names, padded).alias("fields"))
+    rows = inserted.join(own, ["file", "table"], "left").withColumn("folder", folder).join(
+        shared, ["folder", "table"], "left")
+    return rows.select(file_stem("file").alias("forum"), "table", F.map_from_arrays(names, padded).alias("fields"))
 
 
-def dump_table(rows: DataFrame, table: str, columns: list[str]) -> DataFrame:
-    """Wanted columns of one dumped table, all text."""
+def dump_table(rows: DataFrame, table: str, columns: list[str], forum: bool = False) -> DataFrame:
+    """Wanted columns of one dumped table, all text, and the dump they come from if asked for."""
     return rows.filter(F.col("table") == table).select(
-        *[F.try_element_at("fields", F.lit(c)).alias(c) for c in columns])
+        *["forum"] * forum, *[F.try_element_at("fields", F.lit(c)).alias(c) for c in columns])
 
 
 def read_concatenated_json(spark: SparkSession, path: str, source: str) -> DataFrame:

@@ -39,6 +39,18 @@ def test_sql_dump(spark, tmp_path):
     assert [r.id for r in rawtext.dump_table(rows, "other", ["id"]).collect()] == ["7"]
 
 
+def test_dumps_keep_their_own_columns(spark, tmp_path):
+    write(tmp_path / "first.sql", "/* it's a note */\nCREATE TABLE `post` (\n  `postid` int,\n  `username` text\n);\n"
+                                  "INSERT INTO `post` VALUES (1,'ann');\nINSERT INTO `loose` VALUES (5,'x');\n")
+    write(tmp_path / "second.sql", "# it's another\nCREATE TABLE `post` (\n  `username` text,\n  `postid` int\n);\n"
+                                   "INSERT INTO `post` VALUES ('bob',2);\n")
+    rows = rawtext.read_sql_dump(spark, str(tmp_path))
+    got = rawtext.dump_table(rows, "post", ["postid", "username"], forum=True).collect()
+    assert {tuple(r) for r in got} == {("first", "1", "ann"), ("second", "2", "bob")}
+    loose = rawtext.dump_table(rows, "loose", ["column_1", "column_2"]).collect()
+    assert [tuple(r) for r in loose] == [("5", "x")]
+
+
 def test_statement_split_inside_string_over_many_blocks(spark, tmp_path):
     rows = "".join(f"INSERT INTO `t` VALUES ({i},'start;\nmiddle;\nend {i}');\n" for i in range(3000))
     path = write(tmp_path / "big.sql", "CREATE TABLE `t` (\n  `id` int,\n  `txt` text\n);\n" + rows)

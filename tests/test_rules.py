@@ -46,6 +46,10 @@ def test_strip_markup_and_local_part(spark):
                                "h string, room string, mail string")
     row = df.select(tf.strip_markup("h").alias("h"), tf.local_part("room").alias("r"), tf.local_part("mail").alias("m")).first()
     assert tuple(row) == ("a&b c d", "r", "me")
+    cases = {'[quote name="x" date="y"]q[/quote]': "q", "[h1]t[/h1]": "t", "it&#8217;s": "it\u2019s", "&#x2014;": "\u2014",
+             "caf&eacute;&nbsp;x": "caf\u00e9 x", "&amp;eacute; &lt;b&gt;": "&eacute; <b>", "&bogus; &#0;": "&bogus; &#0;"}
+    got = spark.createDataFrame([(k,) for k in cases], "h string").select("h", tf.strip_markup("h").alias("p")).collect()
+    assert {r.h: r.p for r in got} == cases
 
 
 def hours(spark, rows):
