@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foroscope.functions.ranking import prefix_totals, range_bucket
+
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
                     accuracy: int = 10000) -> DataFrame:
@@ -69,10 +71,10 @@ def series_z(col: str, sample: bool = False) -> Column:
 
 
 def average_rank(df: DataFrame, value: str, rank: str) -> DataFrame:
-    """Rank where ties share their mean; ranks are built on value counts, not on rows."""
+    """Rank where ties share their mean; ranks are built on value counts, summed over ordered buckets of values."""
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("__c"))
-    run = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranks = counts.select(value, (F.sum("__c").over(run) - (F.col("__c") - 1) / 2).alias(rank))
+    run = prefix_totals(counts, [], [value], range_bucket(counts, value), F.col("__c"), "__ahead")
+    ranks = run.select(value, (F.col("__ahead") + (F.col("__c") + 1) / 2).alias(rank))
     return df.join(ranks, value)
 
 

@@ -9,13 +9,16 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+FEW_SPLITS = 16
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash a table read from too few files over all cores before CPU-heavy text work.
+    """Hash a table read from too few splits over the cores before CPU-heavy text work.
 
-    A table with at least as many input partitions as cores is left alone, so large inputs never shuffle.
+    Only tables of fewer than ``FEW_SPLITS`` splits move, whatever the number of cores, so large inputs never shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df._jdf.rdd().getNumPartitions() < cores else df
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, FEW_SPLITS)
+    return df.repartition(wanted, key) if df.rdd.getNumPartitions() < wanted else df
 
 
 def participation(spark, sf_dir) -> DataFrame:

@@ -174,6 +174,32 @@ def community_topic(spark, sf):
     return gr.group_topic(labels, topic)
 
 
+@query("group_composition", """
+select c_nationkey as community, c_mktsegment as source, count(*) as members,
+  cast(sum(count(*)) over (partition by c_nationkey) as bigint) as size from customer group by 1, 2""")
+def group_composition(spark, sf):
+    """The composition of given groups, here nations."""
+    sources = table(spark, sf, "customer", "c_custkey", "c_mktsegment").selectExpr(
+        "cast(c_custkey as string) as node", "c_mktsegment as source")
+    return gr.composition(nation_labels(spark, sf), sources)
+
+
+@query("group_topic", """
+with n as (select cast(o_custkey as varchar) as node, o_orderpriority as topic, count(*) as n from orders group by 1, 2),
+t as (select * from n qualify row_number() over (partition by node order by n desc, topic) = 1),
+c as (select c_nationkey as community, topic, count(*) as n from customer join t on node = cast(c_custkey as varchar)
+  group by 1, 2),
+m as (select community, sum(n) as members from c group by 1)
+select community, cast(members as bigint) as members, topic, round(n / members::double, 6) as purity
+from c join m using (community) qualify row_number() over (partition by community order by n desc, topic) = 1""")
+def group_topic(spark, sf):
+    """The dominant topic of given groups, here nations."""
+    orders = table(spark, sf, "orders", "o_custkey", "o_orderpriority").selectExpr(
+        "cast(o_custkey as string) as node", "o_orderpriority as topic")
+    topic = rp.dominant_label(orders, "node", "topic").select("node", "topic")
+    return gr.group_topic(nation_labels(spark, sf), topic)
+
+
 @query("direct_contacts", CONTACT + """ select case when user_a = 'C1' then user_b else user_a end as contact, weight
 from contact where user_a = 'C1' or user_b = 'C1' order by weight desc, contact limit 20""")
 def direct_contacts(spark, sf):

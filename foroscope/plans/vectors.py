@@ -153,6 +153,16 @@ def mixed_clusters(spark, sf):
     return vx.mixed_clusters(vx.vector_clusters(actor_vectors(spark, sf), "vec_id"), "grp")
 
 
+@query("mixed_groups", """
+with c as (select label % 7 - 1 as cluster, vec_id % 3 as source, count(*) as n from embeddings group by 1, 2)
+select cluster, cast(sum(n) as bigint) as members, count(*) as sources, max(n) as largest from c where cluster <> -1
+group by 1 having count(*) > 1""")
+def mixed_groups(spark, sf):
+    """Given clusters with members of several sources; -1 is noise."""
+    rows = table(spark, sf, "embeddings", "vec_id", "label").selectExpr("label % 7 - 1 as cluster", "vec_id % 3 as source")
+    return vx.mixed_clusters(rows, "source")
+
+
 @query("cluster_leaders", """
 with m as (select c_mktsegment as cluster, cast(o_custkey as varchar) as actor, count(*) as posts
   from orders join customer on o_custkey = c_custkey group by 1, 2)
