@@ -23,9 +23,9 @@ ship_by_value(__name__)
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32
                    for b in range(256))
 WINDOW = 13
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 SHARD_WORDS = 1 << 20
-BITS = 21  # a word number; a block of 16 MB has fewer than 2 ** 21 distinct words after word 0
+BITS = 21  # a word number; a block of 8 MB has fewer than 2 ** 21 distinct words after word 0
 PER_KEY = 3  # word numbers packed in one 64-bit key
 RESULT = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()),
                     ("items_sha256", pa.string()), ("contaminated", pa.bool_()), ("longest", pa.int64()),
@@ -43,19 +43,32 @@ class Block:
 
     def __init__(self, items: list[tuple[str | None, bytes]], window: int):
         self.vocabulary: dict[bytes, int] = {}
-        holders: dict[tuple, set] = {}
-        for item, text in items:
-            numbers = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
-            for i in range(max(1, len(numbers) - window + 1) if numbers else 0):
-                holders.setdefault(tuple(numbers[i:i + window]), set()).add(item)
+        self.names = [item for item, _ in items]
+        self.window = window
+        windows: dict[int, list] = {}
+        for owner, (_, text) in enumerate(items):
+            numbers = np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)], np.int64)
+            if len(numbers):
+                n = min(len(numbers), window)
+                own = pack(np.lib.stride_tricks.sliding_window_view(numbers, n), n)
+                windows.setdefault(n, []).append((own, np.full(len(own), owner)))
         if len(self.vocabulary) >= 1 << BITS:
             raise ValueError("a benchmark block has too many distinct words: lower block_bytes")
-        self.window = window
         self.by_length = {}
-        for n in sorted({len(w) for w in holders}):
-            own = [w for w in holders if len(w) == n]
-            self.by_length[n] = (pack(np.array(own, np.int64).reshape(-1, n), n), [sorted(holders[w], key=str)
-                                                                                   for w in own])
+        for n, parts in sorted(windows.items()):
+            keys, owners = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.lexsort((owners, *keys.T[::-1]))
+            keys, owners = keys[order], owners[order]
+            new = np.ones(len(keys), bool)
+            new[1:] = (keys[1:] != keys[:-1]).any(axis=1)
+            again = np.concatenate([[False], ~new[1:] & (owners[1:] == owners[:-1])])
+            keys, owners, new = keys[~again], owners[~again], new[~again]
+            starts = np.append(np.flatnonzero(new), len(new))
+            self.by_length[n] = keys[starts[:-1]], starts, owners
+
+    def items_of(self, n: int, window: int) -> list:
+        _, starts, owners = self.by_length[n]
+        return [self.names[i] for i in owners[starts[window]:starts[window + 1]].tolist()]
 
     def search(self, texts_words: list[list[bytes]]):
         """For each window length: (positions in the shard, window numbers) of all occurrences."""
@@ -69,7 +82,7 @@ class Block:
         stops = np.flatnonzero(shard == 0)
         places = np.flatnonzero(shard)
         run = stops[np.searchsorted(stops, places)] - places
-        for n, (wanted, _) in self.by_length.items():
+        for n, (wanted, *_) in self.by_length.items():
             # suffixes of at least n benchmark words, in order of their first n
             suffixes = places[run >= n]
             keys = pack(shard[suffixes[:, None] + np.arange(n)], n) if len(suffixes) else np.zeros((0, 1), np.int64)
@@ -127,9 +140,8 @@ def search_shard(texts_words: list[list[bytes]], blocks) -> list[tuple]:
             np.maximum.at(starts, places, n)
             docs = np.searchsorted(begins, places, "right") - 1
             pairs = np.unique(np.stack([docs, windows], 1), axis=0)
-            holders = block.by_length[n][1]
             for doc, w in pairs.tolist():
-                items[doc].update(holders[w])
+                items[doc].update(block.items_of(n, w))
     hit = np.cumsum(edges[:-1]) > 0
     sums = np.concatenate([[0], np.cumsum(hit)])
     # a stretch: windows that begin word after word
