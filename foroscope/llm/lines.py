@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foroscope.llm.common import LOWER, id_text, row_key, ship_by_value, texts_of, to_batch
+from foroscope.llm.common import LOWER, row_key, ship_by_value, texts_of, to_batch
 from foroscope.session import stage
 
 ship_by_value(__name__)

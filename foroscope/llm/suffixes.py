@@ -10,8 +10,6 @@ the names are sorted by recursion, the remaining suffixes are sorted by them and
 compared in their first 50 bytes.
 """
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -36,7 +34,6 @@ FOUND = pa.schema([("kind", pa.int8()), ("key", pa.int64()), ("id", pa.int64()),
 CONTEXT = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("place", pa.int64()), ("context", pa.binary())])
 GONE, ASK = 0, 1
 
-
 def gram_hashes(text: np.ndarray) -> np.ndarray:
     """64-bit hash of each 16-byte string."""
     n = len(text) - GRAM + 1
@@ -49,7 +46,6 @@ def gram_hashes(text: np.ndarray) -> np.ndarray:
     h *= np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(32))
 
-
 def contexts(text: bytes):
     """(first position, number of positions, anchor hash) of each run of positions with the same anchor."""
     data = np.frombuffer(text, np.uint8)
@@ -72,15 +68,12 @@ def contexts(text: bytes):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return np.concatenate(firsts), np.concatenate(counts), np.concatenate(keys)
 
-
 def pack(first, count, tag):
     return (first << TAG_BITS | tag) << COUNT_BITS | count
 
-
 def unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return place >> COUNT_BITS + TAG_BITS, place & ((1 << COUNT_BITS) - 1)
 
-
 def name_contexts(batches):
     """Contexts of whole texts. Of those that repeat inside a batch, only the smallest document's go on."""
     for batch in batches:
@@ -108,7 +101,6 @@ def name_contexts(batches):
         kind[order] = np.where(doc[order] > smallest, GONE, ASK)
         yield to_batch(ROWS, kind, key, name, doc, place)
 
-
 def compare_names(batches):
     """By anchor: contexts that a smaller document has too are gone, others that may share a part are asked about."""
     for batch in split_kinds(batches):
@@ -126,7 +118,6 @@ def compare_names(batches):
         rows = np.flatnonzero(kind >= 0)
         yield to_batch(FOUND, kind[rows], key[rows], doc[rows], place[rows])
 
-
 def split_kinds(batches):
     """Rows that are decided come first in a partition and pass; the others come as whole groups of an anchor."""
     def asked():
@@ -144,7 +135,6 @@ def split_kinds(batches):
         yield group
     yield from passed
 
-
 def one_key(*columns: np.ndarray) -> np.ndarray:
     """Rows of names as single numbers in the same order."""
     out, room = columns[0], 63 - int(columns[0].max(initial=0)).bit_length()
@@ -157,7 +147,6 @@ def one_key(*columns: np.ndarray) -> np.ndarray:
         room -= bits
     return out
 
-
 def suffix_order(s: np.ndarray) -> np.ndarray:
     """Suffix array of names of 1 and more by the difference cover modulo 3."""
     n = len(s)
@@ -197,7 +186,6 @@ def suffix_order(s: np.ndarray) -> np.ndarray:
     out[rest] = sampled
     return out
 
-
 def repeated_positions(pieces: list[bytes], docs: np.ndarray) -> np.ndarray:
     """Flags over the joined pieces (each followed by one separator): its 50 bytes also begin in a smaller document."""
     lengths = np.array([len(p) + 1 for p in pieces])
@@ -221,7 +209,6 @@ def repeated_positions(pieces: list[bytes], docs: np.ndarray) -> np.ndarray:
         flags[order] = doc > smallest
     return flags
 
-
 def sort_shards(batches):
     """Suffix arrays of whole anchors, some anchors to a shard; repeated positions as runs."""
     for table, starts in whole_groups(batches, ["key"]):
@@ -246,7 +233,6 @@ def sort_shards(batches):
                            ids[at:stop][piece], pack(first + inside, end - begin, tag))
             at = stop
 
-
 def cut_contexts(batches):
     for batch in batches:
         keys, ids, places, cut = [], [], [], []
@@ -260,7 +246,6 @@ def cut_contexts(batches):
                 cut.append(text[first:first + count + LENGTH - 1])
         yield to_batch(CONTEXT, keys, ids, places, cut)
 
-
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """(id, tag, places) of (id, tag, text) rows: runs of positions whose 50 bytes begin in a smaller document too."""
     rows = docs.mapInArrow(name_contexts, "kind byte, key long, name long, id long, place long")
@@ -278,7 +263,6 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     gone = found.filter(F.col("kind") == GONE).unionByName(more)
     return gone.groupBy("id", tag.alias("tag")).agg(F.collect_list("place").alias("places"))
 
-
 def kept_bytes(text: bytes, places: np.ndarray) -> tuple[bytes, int]:
     """The text without the bytes that the runs cover, and the number of maximal removed stretches."""
     first, count = unpack(places)
@@ -289,7 +273,6 @@ def kept_bytes(text: bytes, places: np.ndarray) -> tuple[bytes, int]:
     spans = int(np.count_nonzero(np.diff(np.concatenate([[0], gone.view(np.int8)])) == 1))
     return np.frombuffer(text, np.uint8)[~gone].tobytes(), spans
 
-
 def cut_repeats(batches):
     schema = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
                         ("kept", pa.binary())])
@@ -301,7 +284,6 @@ def cut_repeats(batches):
         yield to_batch(schema, batch.column("id"), *(list(c) for c in zip(*out, strict=True))) if out else to_batch(
             schema, [], [], [], [], [])
 
-
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept) for every row.
 
@@ -319,7 +301,6 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     joined = rows.join(repeated_runs(rows), ["id", "tag"], "left").select("id", "text", "places")
     return joined.mapInArrow(cut_repeats, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
-
 def repeated_bytes(docs: DataFrame) -> DataFrame:
     """Digest of the dedup over ``documents``."""
     return suffix_dedup(docs).select(id_text("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans",
