@@ -29,6 +29,7 @@ ODDS = 20  # and so many times as often as in no documents
 TRUST = 0.98  # a given label is right at least so often
 YES, NO, NONE = 1, 0, -1
 BIAS = -1  # in place of a feature
+ENTRIES = 1 << 20
 MARKS = bytes(b for b in range(256) if not (48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 or b == 32
                                             or 9 <= b <= 13))
 NOT_MARKS = bytes(b for b in range(256) if b not in MARKS and b not in b" \t\n\x0b\x0c\r")
@@ -147,20 +148,32 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, prior: fl
 def fit_linear(rows: list[np.ndarray], target: np.ndarray, decay: float = 1.5, rounds: int = 200):
     """Logistic regression on sets of hashed features: full gradients, a step size and a lasso for each feature.
 
-    Returns {feature: weight} and the bias. A feature needs a net pull of ``decay`` rows to get a weight.
+    Returns {feature: weight} and the bias. A feature needs a net pull of ``decay`` rows to get a weight. Entries are
+    gone through in blocks, so that memory holds two numbers for each.
     """
     n = max(len(rows), 1)
+    index = np.concatenate([*rows, np.zeros(0, np.int32)])
     owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
-    names, index, seen = np.unique(np.concatenate([*rows, np.zeros(0, np.int32)]), return_inverse=True,
-                                   return_counts=True)
-    index = np.where(seen >= LEAST, np.cumsum(seen >= LEAST) - 1, -1).astype(np.int32)[index]
-    names, owner, index = names[seen >= LEAST], owner[index >= 0], index[index >= 0]
+    names = np.sort(index)
+    start = np.flatnonzero(np.append(True, names[1:] != names[:-1])) if len(names) else np.zeros(0, np.int64)
+    names = names[start[np.diff(np.append(start, len(names))) >= LEAST]]
+    blocks = []
+    for i in range(0, len(index), ENTRIES):
+        own = index[i:i + ENTRIES]
+        at = np.minimum(np.searchsorted(names, own), max(len(names) - 1, 0))
+        known = names[at] == own if len(names) else np.zeros(len(own), bool)
+        blocks.append((at[known].astype(np.int32), owner[i:i + ENTRIES][known]))
+    del index, owner
     weights, bias = np.zeros(len(names)), 0.0
     square, square_b = np.full(len(names), 1e-8), 1e-8
     for _ in range(rounds):
-        margin = np.bincount(owner, weights[index], minlength=len(rows)) + bias
+        margin = np.full(len(rows), bias)
+        for at, who in blocks:
+            margin += np.bincount(who, weights[at], minlength=len(rows))
         error = (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - target) / n
-        grad = np.bincount(index, error[owner], minlength=len(names))
+        grad = np.zeros(len(names))
+        for at, who in blocks:
+            grad += np.bincount(at, error[who], minlength=len(names))
         square += grad * grad
         step = 1 / np.sqrt(square)
         weights -= step * grad
