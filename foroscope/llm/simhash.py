@@ -32,8 +32,8 @@ BLOCK = 4096
 SHORT = 64
 CHUNK = 1 << 16
 #: The pipeline's stage: five words, 256 bits. A pair of similarity 0.8 differs in 15 % of its bits (39); sampling noise
-#: is 6 bits. Unrelated texts differ in about 128.
-WIDE = {"width": 5, "words": 4, "radius": 48, "tables": 48, "sampled": 14}
+#: is 6 bits, so the radius is four of them wider. Unrelated texts differ in about 128.
+WIDE = {"width": 5, "words": 4, "radius": 64, "tables": 96, "sampled": 14}
 
 
 def shingle_hashes(text: bytes, width: int) -> np.ndarray:
@@ -258,13 +258,18 @@ def link_blocks(radius: int):
     return run
 
 
-def linked_prints(classes: DataFrame, masks: list[list[int]], radius: int, block: int = BLOCK) -> DataFrame:
-    """Links between the nodes of distinct fingerprints that make up all components within the radius."""
+def keyed_blocks(classes: DataFrame, masks: list[list[int]], block: int = BLOCK) -> DataFrame:
+    """Each node once for every mask, sorted by blocks of equal key."""
     keys = F.array(*[F.xxhash64(F.lit(i), *[F.col("fp")[w].bitwiseAND(F.lit(m)) for w, m in enumerate(mask) if m])
                      for i, mask in enumerate(masks)])
-    rows = block_pairs(classes.select("node", "fp", F.explode(keys).alias("key")), "key", "node", block, inside=False)
-    ordered = rows.select("key", "lo", "hi", "node", "fp").repartition("key", "lo", "hi").sortWithinPartitions(
+    rows = block_pairs(classes.withColumn("key", F.explode(keys)), "key", "node", block, inside=False)
+    return rows.select("key", "lo", "hi", *classes.columns).repartition("key", "lo", "hi").sortWithinPartitions(
         "key", "lo", "hi", "node")
+
+
+def linked_prints(classes: DataFrame, masks: list[list[int]], radius: int, block: int = BLOCK) -> DataFrame:
+    """Links between the nodes of distinct fingerprints that make up all components within the radius."""
+    ordered = keyed_blocks(classes.select("node", "fp"), masks, block)
     return ordered.mapInArrow(link_blocks(radius), "user_a long, user_b long").distinct()
 
 
@@ -291,6 +296,87 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(named, "fp").select("id", "fp", "component_id")
 
 
+def distinct_shingles(text: bytes, width: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text, width))
+
+
+def make_sets(width: int, words: int):
+    """Name of the set of distinct shingles, with its fingerprint, or with the set itself if ``words`` is 0."""
+    schema = pa.schema([("id", pa.int64()), ("node", pa.int64()), ("fp", pa.list_(pa.int64()))])
+
+    def run(batches):
+        for batch in batches:
+            sets = [distinct_shingles(t, width) for t in texts_of(batch)]
+            yield to_batch(schema, batch.column("id"), [signed(xxhash.xxh3_64_intdigest(s.tobytes())) for s in sets],
+                           [fingerprint(s, words) if words else s.view(np.int64) for s in sets])
+    return run
+
+
+def pair_blocks(radius: int):
+    """All pairs of a block within the radius that have different labels."""
+    def run(batches):
+        for table, starts in whole_groups(batches, ["key", "lo", "hi"]):
+            nodes, labels = table.column("node").to_numpy(), table.column("label").to_numpy()
+            prints = table.column("fp").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(nodes), -1)
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(nodes)], strict=True):
+                if (labels[a:b] == labels[a]).all():
+                    continue
+                planes, valid = planes_of(prints[a:b]), pack_bits(np.ones(b - a, bool))
+                for q in range(a, b, 128):
+                    for i, near in enumerate(near_queries(planes, valid, prints[q:min(q + 128, b)], radius), q):
+                        other = a + set_bits(near)
+                        other = other[(other > i) & (labels[other] != labels[i])]
+                        if len(other):
+                            yield to_batch(EDGES, np.minimum(nodes[i], nodes[other]), np.maximum(nodes[i], nodes[other]))
+    return run
+
+
+def alike_sets(docs: DataFrame, id_col: str, text_col: str, width: int, words: int, radius: int, tables: int,
+               sampled: int) -> DataFrame:
+    """(id, component_id) of every row: components over pairs whose distinct shingles have a Jaccard similarity of 0.8.
+
+    Fingerprints of the distinct shingles only propose pairs. First the links that make up all components within the
+    radius are verified. Where one of them fails, all other pairs within the radius that are not yet in one verified
+    component are verified too, so a failed link hides no good one.
+    """
+    texts = docs.select(row_key(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = stage(texts.mapInArrow(make_sets(width, words), "id long, node long, fp array<long>"), "prints")
+    classes = stage(rows.groupBy("node").agg(F.min("id").alias("first"), F.min("fp").alias("fp")), "classes")
+    masks = sampled_masks(words, tables, sampled)
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs with a flag: common shingles are at least 0.8 of all."""
+        wanted = pairs.select(F.explode(F.array("user_a", "user_b")).alias("node")).distinct()
+        sets = stage(texts.mapInArrow(make_sets(width, 0), "id long, node long, fp array<long>").join(
+            wanted, "node").select("node", F.col("fp").alias("set")).dropDuplicates(["node"]), "sets")
+        a, b = (sets.select(F.col("node").alias(u), F.col("set").alias(s)) for u, s in (("user_a", "a"), ("user_b", "b")))
+        common = F.size(F.array_intersect("a", "b"))
+        return stage(pairs.join(a, "user_a").join(b, "user_b").select(
+            "user_a", "user_b", (5 * common >= 4 * (F.size("a") + F.size("b") - common)).alias("alike")), "verified")
+
+    plain = classes.select("node", "fp")
+    links = stage(keyed_blocks(plain, masks).mapInArrow(link_blocks(radius), "user_a long, user_b long").distinct(), "links")
+    judged = verified(links)
+    good = judged.filter("alike").select("user_a", "user_b")
+    found = components(good)
+    failed = judged.filter("not alike")
+    if not failed.isEmpty():
+        wide = components(links)
+        again = wide.join(failed.select(F.col("user_a").alias("node")).distinct(), "node").select("component").distinct()
+        labels = found.select("node", F.col("component").alias("label"))
+        part = stage(plain.join(wide.join(again, "component", "left_semi"), "node", "left_semi").join(
+            labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "again")
+        pairs = stage(keyed_blocks(part, masks).mapInArrow(pair_blocks(radius), "user_a long, user_b long").distinct(),
+                      "pairs")
+        more = verified(pairs).filter("alike").select("user_a", "user_b")
+        found = components(good.unionByName(more))
+    linked = classes.select("node", "first").join(found, "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
+    first = linked.groupBy("component").agg(F.min("first").alias("component_id"))
+    return rows.select("id", "node").join(linked.join(first, "component").select("node", "component_id"), "node").select(
+        "id", "component_id")
+
+
 def simhash_groups(docs: DataFrame) -> DataFrame:
     """Digest of the near-dedup over ``documents``."""
     return near_duplicates(docs).select(
@@ -301,10 +387,10 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
 def stage_simhash(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of documents whose five-word shingles are alike to 0.8 or more, the smallest id stays.
 
-    Similarity is read off 256-bit fingerprints. Texts without words have nothing alike and stay, and so do rows
+    Similarity is the exact share of common among all distinct shingles; 256-bit fingerprints propose the pairs. Texts without words have nothing alike and stay, and so do rows
     without an id.
     """
     kept = F.length(F.trim(F.translate(F.coalesce("text", F.lit("")), "\t\n\x0b\x0c\r", "     "))) > 0
-    found = near_duplicates(docs.filter(kept & F.col("doc_id").isNotNull()), **WIDE)
+    found = alike_sets(docs.filter(kept & F.col("doc_id").isNotNull()), "doc_id", "text", **WIDE)
     late = found.filter("id <> component_id").select(F.col("id").alias("__late")).distinct()
     return docs.join(late, F.col("doc_id") == F.col("__late"), "left_anti")

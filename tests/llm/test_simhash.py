@@ -88,3 +88,28 @@ def test_stage_keeps_one_of_near_copies(spark, frame):
     kept = stage_simhash(spark, frame(rows), "")
     assert kept.columns == frame(rows).columns
     assert sorted([r.doc_id for r in kept.collect()], key=str) == sorted([*range(12), None, 300, 301, 302], key=str)
+
+
+def test_stage_against_exact_similarity(spark, frame):
+    rng = np.random.default_rng(7)
+    rows = []
+    for k in range(40):  # pairs of 0.55 to 0.95 at two lengths
+        n = (400, 60)[k % 2]
+        base = [f"a{k}x{i}" for i in range(n)]
+        new = round(n * rng.uniform(0.02, 0.3))
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(base[:n - new] + [f"b{k}x{i}" for i in range(new)]))]
+    rows += [(200, "p q r s t u v w"), (201, "p q r s t u v y")]  # three of five shingles
+    for i in range(3):  # one shingle holds most places
+        rows.append((300 + i, " ".join(["na"] * 200 + [f"c{i}x{j}" for j in range(60)])))
+    chain = [f"d{i}" for i in range(400)]  # a link that fails beside others that hold
+    rows += [(400 + i, " ".join(chain[30 * i:30 * i + 280])) for i in range(5)]
+    sets = {}
+    for doc, text in rows:
+        w = text.split()
+        sets[doc] = {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+    label = {d: d for d in sets}
+    for _ in range(10):
+        for a in sets:
+            label[a] = min(label[b] for b in sets if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    kept = {r.doc_id for r in stage_simhash(spark, frame(rows), "").collect()}
+    assert kept == {d for d in label if label[d] == d} and 10 < len(kept) < len(rows) - 10
