@@ -1,7 +1,8 @@
 """Queries of the training-data operators over the test tables, each with its SQL where one exists."""
 
 import corpus_pipeline
-from foroscope.llm import chaining, decontaminate, langid, lines, mixing, pii, projections, quality, simhash, suffixes
+from foroscope.llm import (chaining, decontaminate, exact, langid, lines, merkle, mixing, pii, projections, quality,
+                           simhash, suffixes)
 from foroscope.llm.common import documents
 
 QUERIES: dict = {}
@@ -25,4 +26,6 @@ register("op7_languages", lambda spark, d: langid.languages(documents(spark, d))
 register("op8_near_vectors", lambda spark, d: projections.near_vectors(spark.read.parquet(f"{d}/embeddings.parquet")))
 register("op9_quality", lambda spark, d: quality.classify(documents(spark, d), spark.read.parquet(f"{d}/labels.parquet")))
 register("op10_line_dedup", lambda spark, d: lines.line_dedup(documents(spark, d)), lines.ORACLE)
+register("op11_merkle_manifest", lambda spark, d: merkle.merkle_manifest(documents(spark, d)), merkle.ORACLE)
+register("op12_exact_dedup", lambda spark, d: exact.exact_dedup(documents(spark, d)), exact.ORACLE)
 register("pipeline", corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
