@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 from foroscope.llm import (chaining, decontaminate, exact, langid, lines, merkle, mixing, pii, projections, quality,
-                           simhash, suffixes)
+                           search, simhash, suffixes)
 from foroscope.llm.common import documents
 
 QUERIES: dict = {}
@@ -28,4 +28,6 @@ register("op9_quality", lambda spark, d: quality.classify(documents(spark, d), s
 register("op10_line_dedup", lambda spark, d: lines.line_dedup(documents(spark, d)), lines.ORACLE)
 register("op11_merkle_manifest", lambda spark, d: merkle.merkle_manifest(documents(spark, d)), merkle.ORACLE)
 register("op12_exact_dedup", lambda spark, d: exact.exact_dedup(documents(spark, d)), exact.ORACLE)
+register("op13_ranked_search", lambda spark, d: search.ranked_search(
+    documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet")), search.ORACLE)
 register("pipeline", corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
