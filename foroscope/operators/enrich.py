@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from foroscope.operators.sample import hash_order
 from foroscope.session import ship_by_value
-from foroscope.sources.combine import path_exists, pending
+from foroscope.sources.combine import pending
+from foroscope.sources.commits import committed, read_committed, write_batch
 
 ship_by_value(__name__)
 
@@ -26,17 +27,22 @@ def score_rows(df: DataFrame, key: str, text: str, scorer: Callable[[pd.Series],
 
 def score_with_resume(spark: SparkSession, df: DataFrame, key: str, text: str, scorer, path: str,
                       batches: int = 4) -> DataFrame:
-    """Score what the result table does not hold yet, in hash-split batches that are each appended whole.
+    """Score what the result table does not hold yet, in hash-split batches that are committed one by one.
 
-    A lost run continues after its last finished batch.
+    A lost run continues after its last committed batch; a batch that was written but not committed is done again, so no
+    key is lost or doubled. New rows of a later run make a batch of their own.
     """
     part = F.pmod(F.xxhash64(F.lit("batch"), hash_order(key)), F.lit(batches))
+    run = len(committed(spark, path))
     for i in range(batches):
+        done = read_committed(spark, path)
         todo = df.filter(part == i)
-        if path_exists(spark, path):
-            todo = pending(todo, spark.read.parquet(path), key)
-        score_rows(todo, key, text, scorer).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+        if done is not None:
+            todo = pending(todo, done, key)
+        if not todo.isEmpty():
+            write_batch(score_rows(todo, key, text, scorer), path, f"{run}-{i}")
+    schema = score_rows(df, key, text, scorer).schema
+    return read_committed(spark, path, schema)
 
 
 def rule_scorer(texts: pd.Series) -> pd.Series:
