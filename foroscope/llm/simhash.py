@@ -19,21 +19,33 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foroscope.llm.common import LOWER, block_pairs, id_text, row_key, ship_by_value, texts_of, to_batch, whole_groups
+from foroscope.llm.common import (LOWER, block_pairs, group_starts, id_text, row_key, ship_by_value, texts_of, to_batch,
+                                   whole_groups)
 from foroscope.operators.graph import components
-from foroscope.session import stage
+from foroscope.session import drop_stage, restage, stage
 
 ship_by_value(__name__)
 
 FULL = np.uint64(2**64 - 1)
 PRINTS = pa.schema([("id", pa.int64()), ("fp", pa.list_(pa.int64()))])
 EDGES = pa.schema([("user_a", pa.int64()), ("user_b", pa.int64())])
+SETS_SQL = "id long, version long, node long, size long, fp array<long>"
+SETS = pa.schema([("id", pa.int64()), ("version", pa.int64()), ("node", pa.int64()), ("size", pa.int64()),
+                  ("fp", pa.list_(pa.int64()))])
 BLOCK = 4096
 SHORT = 64
 CHUNK = 1 << 16
 #: The pipeline's stage: five words, 256 bits. A pair of similarity 0.8 differs in 15 % of its bits (39); sampling noise
 #: is 6 bits, so the radius is four of them wider. Unrelated texts differ in about 128.
 WIDE = {"width": 5, "words": 4, "radius": 64, "tables": 96, "sampled": 14}
+#: Share of pairs of similarity 0.8 that one more sampled bit keeps.
+KEPT = 0.849
+#: Buckets whose counts bound the shingles that two sets have in common.
+BUCKETS = 256
+#: Forests of a round for each one of the round before.
+MORE = 8
+#: Copies of a hot node's shingles at most.
+SALTS = 64
 
 
 def shingle_hashes(text: bytes, width: int) -> np.ndarray:
@@ -301,80 +313,275 @@ def distinct_shingles(text: bytes, width: int) -> np.ndarray:
 
 
 def make_sets(width: int, words: int):
-    """Name of the set of distinct shingles, with its fingerprint, or with the set itself if ``words`` is 0."""
-    schema = pa.schema([("id", pa.int64()), ("node", pa.int64()), ("fp", pa.list_(pa.int64()))])
-
+    """Name, size and fingerprint of the set of distinct shingles of each text."""
     def run(batches):
         for batch in batches:
             sets = [distinct_shingles(t, width) for t in texts_of(batch)]
-            yield to_batch(schema, batch.column("id"), [signed(xxhash.xxh3_64_intdigest(s.tobytes())) for s in sets],
-                           [fingerprint(s, words) if words else s.view(np.int64) for s in sets])
+            yield to_batch(SETS, batch.column("id"), batch.column("version"),
+                           [signed(xxhash.xxh3_64_intdigest(s.tobytes())) for s in sets], [len(s) for s in sets],
+                           [fingerprint(s, words) for s in sets])
     return run
 
 
-def pair_blocks(radius: int):
-    """All pairs of a block within the radius that have different labels."""
+def list_sets(width: int):
+    schema = pa.schema([("node", pa.int64()), ("set", pa.list_(pa.int64()))])
+
+    def run(batches):
+        for batch in batches:
+            yield to_batch(schema, batch.column("node"), [distinct_shingles(t, width).view(np.int64) for t in texts_of(batch)])
+    return run
+
+
+def distances(prints: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(prints[a] ^ prints[b]).sum(axis=1, dtype=np.int64)
+
+
+def shortest_forest(a: np.ndarray, b: np.ndarray, weight: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Places of the pairs that make up a minimum spanning forest over ``label``, by merging along shortest pairs."""
+    order = np.lexsort((b, a, weight))
+    label, out = label.copy(), []
+    while len(order):
+        order = order[label[a[order]] != label[b[order]]]
+        if not len(order):
+            break
+        best = np.full(len(label), len(order))
+        rank = np.arange(len(order))
+        np.minimum.at(best, label[a[order]], rank)
+        np.minimum.at(best, label[b[order]], rank)
+        chosen = order[np.unique(best[best < len(order)])]
+        out.append(chosen)
+        low, high = np.minimum(label[a[chosen]], label[b[chosen]]), np.maximum(label[a[chosen]], label[b[chosen]])
+        parent = np.arange(len(label))
+        while True:  # the chosen pairs' components get their smallest label
+            before = parent.copy()
+            least = np.minimum(parent[low], parent[high])
+            np.minimum.at(parent, low, least)
+            np.minimum.at(parent, high, least)
+            parent = parent[parent]
+            if (parent == before).all():
+                break
+        label = parent[label]
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+
+def grow_forest(prints: np.ndarray, near: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
+    """Minimum spanning forest of one long block over ``label``, node by node along the shortest link."""
+    n, far = len(prints), 1 << 30
+    best, via = np.full(n, far), np.full(n, -1)
+    open_, links = np.ones(n, bool), []
+    for start in range(n):
+        node, steps = start, 0
+        if not open_[start]:
+            continue
+        while True:
+            open_[node] = False
+            if steps and best[node] >= 0:
+                links.append((int(via[node]), node))
+            members = set_bits(near[node])
+            members = members[open_[members]]
+            d = distances(prints, np.full(len(members), node), members)
+            closer = d < best[members]
+            best[members[closer]], via[members[closer]] = d[closer], node
+            best[open_ & (label == label[node])] = -1  # joined already
+            steps += 1
+            waiting = np.where(open_, best, far)
+            node = int(waiting.argmin())
+            if waiting[node] == far:
+                break
+    return links
+
+
+def bucket_counts(batches):
+    """Per set the number of shingles in each of ``BUCKETS`` buckets; nothing for a set with more than 255 in one."""
+    schema = pa.schema([("node", pa.int64()), ("counts", pa.binary())])
+    for batch in batches:
+        out = []
+        for hashes in batch.column("set"):
+            own = np.bincount(hashes.values.to_numpy() % BUCKETS, minlength=BUCKETS)
+            out.append(own.astype(np.uint8).tobytes() if own.max(initial=0) < 256 else None)
+        yield to_batch(schema, batch.column("node"), out)
+
+
+def may_be_alike(counts: np.ndarray, known: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the buckets allow a similarity of 0.8: common shingles are at most the sum of the smaller counts."""
+    out = np.ones(len(a), bool)
+    for i in range(0, len(a), CHUNK):
+        at = slice(i, i + CHUNK)
+        common = np.minimum(counts[a[at]], counts[b[at]]).sum(axis=1, dtype=np.int64)
+        out[at] = (9 * common >= 4 * (sizes[a[at]] + sizes[b[at]])) | ~known[a[at]] | ~known[b[at]]
+    return out
+
+
+def compatible(sizes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sets of these sizes can be alike to 0.8 at all."""
+    return 5 * np.minimum(sizes[a], sizes[b]) >= 4 * np.maximum(sizes[a], sizes[b])
+
+
+def propose(radius: int, forests: int):
+    """Per block: ``forests`` minimum spanning forests without common links over its labels, of pairs within the radius
+    whose sizes fit and that have not failed before."""
+    def long_block(prints, sizes, label, failed, counts, known):
+        n = len(prints)
+        planes, valid = planes_of(prints), pack_bits(np.ones(n, bool))
+        near = np.concatenate([near_queries(planes, valid, prints[q:q + 128], radius) for q in range(0, n, 128)])
+        for i in range(n):
+            fits = compatible(sizes, np.full(n, i), np.arange(n))
+            fits[failed[i]] = False
+            fits &= label != label[i]
+            near[i] &= pack_bits(fits)
+            if counts is not None:
+                members = set_bits(near[i])
+                fits[members] &= may_be_alike(counts, known, sizes, np.full(len(members), i), members)
+                near[i] &= pack_bits(fits)
+        for _ in range(forests):
+            links = grow_forest(prints, near, label)
+            yield from links
+            if not links:
+                break
+            for a, b in links:
+                near[a, b >> 6] &= ~(np.uint64(1) << np.uint64(b & 63))
+                near[b, a >> 6] &= ~(np.uint64(1) << np.uint64(a & 63))
+
     def run(batches):
         for table, starts in whole_groups(batches, ["key", "lo", "hi"]):
-            nodes, labels = table.column("node").to_numpy(), table.column("label").to_numpy()
+            nodes, sizes = table.column("node").to_numpy(), table.column("size").to_numpy()
             prints = table.column("fp").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(nodes), -1)
-            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(nodes)], strict=True):
-                if (labels[a:b] == labels[a]).all():
+            counts = np.diff(np.append(starts, len(nodes)))
+            group = np.repeat(np.arange(len(starts)), counts)
+            label, lists, buckets, known = np.arange(len(nodes)), [], None, None  # in the first round every node is alone
+            if "label" in table.schema.names:
+                lists, named = table.column("failed").to_pylist(), table.column("label").to_numpy()
+                order = np.lexsort((named, group))
+                found = table.column("counts").to_pylist()
+                known = np.array([c is not None for c in found], bool)
+                buckets = np.frombuffer(b"".join(c or bytes(BUCKETS) for c in found), np.uint8).reshape(-1, BUCKETS)
+                label[order] = np.cumsum(np.isin(label, group_starts([group[order], named[order]]))) - 1
+            out = [np.zeros((0, 2), np.int64)]
+            some = np.flatnonzero((counts > 1)[group] & (counts <= SHORT)[group])
+            if len(some):
+                a, b = (some[x] for x in near_neighbours(prints[some], group[some], radius))
+                fits = compatible(sizes, a, b)
+                a, b = a[fits], b[fits]
+                if buckets is not None:
+                    fits = (label[a] != label[b]) & may_be_alike(buckets, known, sizes, a, b)
+                    a, b = a[fits], b[fits]
+                if any(lists):
+                    bad = np.fromiter((nodes[j] in lists[i] if lists[i] else False for i, j in zip(a, b, strict=True)), bool,
+                                      len(a))
+                    a, b = a[~bad], b[~bad]
+                weight = distances(prints, a, b)
+                for _ in range(forests):
+                    chosen = shortest_forest(a, b, weight, label)
+                    if not len(chosen):
+                        break
+                    out.append(np.stack([a[chosen], b[chosen]], 1))
+                    rest = np.ones(len(a), bool)
+                    rest[chosen] = False
+                    a, b, weight = a[rest], b[rest], weight[rest]
+            for g in np.flatnonzero(counts > SHORT):
+                at = slice(starts[g], starts[g] + counts[g])
+                if (label[at] == label[starts[g]]).all():
                     continue
-                planes, valid = planes_of(prints[a:b]), pack_bits(np.ones(b - a, bool))
-                for q in range(a, b, 128):
-                    for i, near in enumerate(near_queries(planes, valid, prints[q:min(q + 128, b)], radius), q):
-                        other = a + set_bits(near)
-                        other = other[(other > i) & (labels[other] != labels[i])]
-                        if len(other):
-                            yield to_batch(EDGES, np.minimum(nodes[i], nodes[other]), np.maximum(nodes[i], nodes[other]))
+                place = {n: i for i, n in enumerate(nodes[at].tolist())}
+                failed = [[place[x] for x in found or () if x in place] for found in lists[at]] or [[]] * len(place)
+                links = list(long_block(prints[at], sizes[at], label[at], failed, None if buckets is None else buckets[at],
+                                        None if known is None else known[at]))
+                out.append(starts[g] + np.array(links, np.int64).reshape(-1, 2))
+            links = nodes[np.concatenate(out)]
+            yield to_batch(EDGES, links.min(axis=1), links.max(axis=1))
     return run
 
 
 def alike_sets(docs: DataFrame, id_col: str, text_col: str, width: int, words: int, radius: int, tables: int,
                sampled: int) -> DataFrame:
-    """(id, component_id) of every row: components over pairs whose distinct shingles have a Jaccard similarity of 0.8.
+    """(id, version, first, first_version) of every row: its id and text hash, and those of the first row of its group.
 
-    Fingerprints of the distinct shingles only propose pairs. First the links that make up all components within the
-    radius are verified. Where one of them fails, all other pairs within the radius that are not yet in one verified
-    component are verified too, so a failed link hides no good one.
+    Groups are components over pairs whose distinct shingles have a Jaccard similarity of 0.8; the first row has the
+    smallest id, then the smallest text hash. Fingerprints of the distinct shingles only propose pairs: in each block
+    those of a minimum spanning forest, shortest distance first. They are verified, verified links merge labels, and
+    blocks with several labels propose again among what has not failed, until they have nothing left to propose. From then
+    on the counts of shingles by bucket leave out pairs that cannot reach 0.8, so few proposals fail. So a failed link hides no good one, and a block never returns all its pairs at once.
+
+    Keys have ``sampled`` bits up to 4 million documents' sets and about one more for each doubling beyond, with more
+    tables for the same recall, so blocks of unrelated texts do not grow with the corpus.
     """
-    texts = docs.select(row_key(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = stage(texts.mapInArrow(make_sets(width, words), "id long, node long, fp array<long>"), "prints")
-    classes = stage(rows.groupBy("node").agg(F.min("id").alias("first"), F.min("fp").alias("fp")), "classes")
-    masks = sampled_masks(words, tables, sampled)
+    texts = docs.select(row_key(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("version"))
+    rows = stage(texts.mapInArrow(make_sets(width, words), SETS_SQL), "prints")
+    classes = stage(rows.groupBy("node").agg(F.min(F.struct("id", "version")).alias("first"), F.min("size").alias("size"),
+                                             F.min("fp").alias("fp")), "classes")
+    more_bits = max(0, int(classes.count()).bit_length() - 22)
+    masks = sampled_masks(words, int(np.ceil(tables / KEPT ** more_bits)), sampled + more_bits)
+
+    def proposed(active: DataFrame, forests: int) -> DataFrame:
+        blocks = keyed_blocks(active, masks)
+        return stage(blocks.mapInArrow(propose(radius, forests), "user_a long, user_b long").distinct(), "links")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs with a flag: common shingles are at least 0.8 of all."""
-        wanted = pairs.select(F.explode(F.array("user_a", "user_b")).alias("node")).distinct()
-        sets = stage(texts.mapInArrow(make_sets(width, 0), "id long, node long, fp array<long>").join(
-            wanted, "node").select("node", F.col("fp").alias("set")).dropDuplicates(["node"]), "sets")
-        a, b = (sets.select(F.col("node").alias(u), F.col("set").alias(s)) for u, s in (("user_a", "a"), ("user_b", "b")))
+        """The pairs with a flag: common shingles are at least 0.8 of all. A hot node's set is copied to some salts."""
+        salted = pairs.withColumn("salt", F.pmod(F.xxhash64("user_b"), F.lit(SALTS)))
+        a = salted.select("user_a", "salt").distinct().join(sets.select(F.col("node").alias("user_a"), F.col("set").alias("a")),
+                                                            "user_a")
+        with_a = salted.join(a, ["user_a", "salt"])
+        turned = with_a.withColumn("salt", F.pmod(F.xxhash64("user_a"), F.lit(SALTS)))
+        b = salted.select("user_b", F.pmod(F.xxhash64("user_a"), F.lit(SALTS)).alias("salt")).distinct()
+        b = b.join(sets.select(F.col("node").alias("user_b"), F.col("set").alias("b")), "user_b")
         common = F.size(F.array_intersect("a", "b"))
-        return stage(pairs.join(a, "user_a").join(b, "user_b").select(
+        return stage(turned.join(b, ["user_b", "salt"]).select(
             "user_a", "user_b", (5 * common >= 4 * (F.size("a") + F.size("b") - common)).alias("alike")), "verified")
 
-    plain = classes.select("node", "fp")
-    links = stage(keyed_blocks(plain, masks).mapInArrow(link_blocks(radius), "user_a long, user_b long").distinct(), "links")
+    def between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+        """Pairs of different labels."""
+        ends = [labels.select(F.col("node").alias(f"user_{e}"), F.col("label").alias(e)) for e in "ab"]
+        return pairs.join(ends[0], "user_a").join(ends[1], "user_b").filter("a <> b").select(
+            F.col("a").alias("user_a"), F.col("b").alias("user_b"))
+
+    plain = classes.select("node", "size", "fp")
+    links = proposed(plain, 1)
+    nodes = links.select(F.explode(F.array("user_a", "user_b")).alias("node")).distinct()
+    reps = classes.join(nodes, "node", "left_semi").select("node", "first.id", "first.version")
+    sets = stage(texts.join(reps, ["id", "version"]).select("node", "text").mapInArrow(
+        list_sets(width), "node long, set array<long>").dropDuplicates(["node"]), "sets")
     judged = verified(links)
-    good = judged.filter("alike").select("user_a", "user_b")
-    found = components(good)
-    failed = judged.filter("not alike")
-    if not failed.isEmpty():
-        wide = components(links)
-        again = wide.join(failed.select(F.col("user_a").alias("node")).distinct(), "node").select("component").distinct()
-        labels = found.select("node", F.col("component").alias("label"))
-        part = stage(plain.join(wide.join(again, "component", "left_semi"), "node", "left_semi").join(
-            labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "again")
-        pairs = stage(keyed_blocks(part, masks).mapInArrow(pair_blocks(radius), "user_a long, user_b long").distinct(),
-                      "pairs")
-        more = verified(pairs).filter("alike").select("user_a", "user_b")
-        found = components(good.unionByName(more))
+    found = components(judged.filter("alike").select("user_a", "user_b"), nodes)
+    labels = stage(found.select("node", F.col("component").alias("label")), "labels")
+    drop_stage(links)
+    # labels that failed links join, closely enough to be looked at again
+    wide = components(between(judged.filter("not alike"), labels))
+    active = labels.join(wide.select(F.col("node").alias("label"), F.col("component").alias("wide")), "label")
+    active, forests = stage(active.select("node", "label", "wide"), "active"), 1
+    counts = stage(sets.join(active.select("node"), "node", "left_semi").mapInArrow(
+        bucket_counts, "node long, counts binary"), "buckets")
+    while True:
+        split = active.groupBy("wide").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b")
+        bad = judged.filter("not alike")
+        failed = bad.select(F.col("user_a").alias("node"), F.col("user_b").alias("other")).unionByName(
+            bad.select(F.col("user_b").alias("node"), F.col("user_a").alias("other"))).groupBy("node").agg(
+            F.collect_list("other").alias("failed"))
+        open_ = stage(plain.join(active.join(split, "wide", "left_semi").select("node", "label"), "node").join(
+            failed, "node", "left").join(counts, "node"), "open")
+        links = proposed(open_, forests)
+        drop_stage(open_)
+        if links.isEmpty():
+            break
+        forests *= MORE
+        fresh = verified(links)
+        drop_stage(links)
+        merged = components(between(fresh.filter("alike"), active)).select(
+            F.col("node").alias("label"), F.col("component").alias("to"))
+        judged = restage(judged.unionByName(fresh), "judged", judged)
+        drop_stage(fresh)
+        active = restage(active.join(merged, "label", "left").select("node", F.coalesce("to", "label").alias("label"), "wide"),
+                         "active", active)
+    for table in (links, sets, counts, judged):
+        drop_stage(table)
+    found = labels.join(active.select("node", F.col("label").alias("last")), "node", "left").select(
+        "node", F.coalesce("last", "label").alias("component"))
     linked = classes.select("node", "first").join(found, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
-    first = linked.groupBy("component").agg(F.min("first").alias("component_id"))
-    return rows.select("id", "node").join(linked.join(first, "component").select("node", "component_id"), "node").select(
-        "id", "component_id")
+    first = linked.groupBy("component").agg(F.min("first").alias("best"))
+    named = linked.join(first, "component").select("node", "best")
+    return rows.select("id", "version", "node").join(named, "node").select(
+        "id", "version", F.col("best.id").alias("first"), F.col("best.version").alias("first_version"))
 
 
 def simhash_groups(docs: DataFrame) -> DataFrame:
@@ -387,10 +594,13 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
 def stage_simhash(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of documents whose five-word shingles are alike to 0.8 or more, the smallest id stays.
 
-    Similarity is the exact share of common among all distinct shingles; 256-bit fingerprints propose the pairs. Texts without words have nothing alike and stay, and so do rows
-    without an id.
+    Similarity is the exact share of common among all distinct shingles; 256-bit fingerprints propose the pairs. Null
+    texts, texts without words and rows without an id have nothing alike and stay. An id that is repeated with another
+    text is decided for each text by itself; of alike texts under one id, the one with the smallest hash stays. Rows that
+    repeat both id and text stay or go together. An empty table stays empty, further columns are kept as they are.
     """
     kept = F.length(F.trim(F.translate(F.coalesce("text", F.lit("")), "\t\n\x0b\x0c\r", "     "))) > 0
     found = alike_sets(docs.filter(kept & F.col("doc_id").isNotNull()), "doc_id", "text", **WIDE)
-    late = found.filter("id <> component_id").select(F.col("id").alias("__late")).distinct()
-    return docs.join(late, F.col("doc_id") == F.col("__late"), "left_anti")
+    late = found.filter("id <> first or version <> first_version").select(
+        F.col("id").alias("__late"), F.col("version").alias("__text")).distinct()
+    return docs.join(late, (F.col("doc_id") == F.col("__late")) & (F.xxhash64("text") == F.col("__text")), "left_anti")

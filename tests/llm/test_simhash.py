@@ -4,8 +4,8 @@ import numpy as np
 import xxhash
 from conftest import SF
 
-from foroscope.llm.simhash import (exact_masks, fingerprint, forest, near_neighbours, shingle_hashes, simhash_groups,
-                                   stage_simhash, stars)
+from foroscope.llm.simhash import (exact_masks, fingerprint, forest, grow_forest, near_neighbours, pack_bits,
+                                   shingle_hashes, shortest_forest, simhash_groups, stage_simhash, stars)
 
 from .conftest import ODD
 
@@ -113,3 +113,61 @@ def test_stage_against_exact_similarity(spark, frame):
             label[a] = min(label[b] for b in sets if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
     kept = {r.doc_id for r in stage_simhash(spark, frame(rows), "").collect()}
     assert kept == {d for d in label if label[d] == d} and 10 < len(kept) < len(rows) - 10
+
+
+def test_stage_decides_each_text_of_a_repeated_id(spark, frame):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a), (2, a), (2, b), (3, b + " more"), (4, a), (4, a + " more"), (5, "alone " + "x " * 20)]
+    kept = sorted((r.doc_id, r.text) for r in stage_simhash(spark, frame(rows), "").collect())
+    assert kept == sorted([(1, a), (2, b), (5, rows[-1][1])])
+
+
+def test_stage_in_a_dense_group_with_failing_links(spark, frame, monkeypatch):
+    """Copies of one base that are alike to it, not to each other, beside chains of both kinds."""
+    rng = np.random.default_rng(3)
+    base = [f"a{i}" for i in range(300)]
+    rows = [(1000, " ".join(base))]
+    for i in range(150):  # 0.88 to the base, about 0.78 to each other
+        copy = list(base)
+        for at in rng.choice(60, 4, replace=False):
+            copy[5 * at] = f"c{i}x{at}"
+        rows.append((i, " ".join(copy)))
+    sets = {}
+    for doc, text in rows:
+        w = text.split()
+        sets[doc] = {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+    label = {d: d for d in sets}
+    for _ in range(5):
+        for x in sets:
+            label[x] = min(label[y] for y in sets if len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y]))
+    want = {d for d in label if label[d] == d}
+    kept = {r.doc_id for r in stage_simhash(spark, frame(rows), "").collect()}
+    assert kept == want
+
+
+def test_forests_are_shortest_and_connect_the_same():
+    rng = np.random.default_rng(11)
+    for _ in range(30):
+        n = 60
+        centre = rng.integers(0, 2**63, (1, 4)).astype(np.uint64)
+        prints = np.repeat(centre, n, axis=0)
+        for row in prints:
+            for bit in rng.choice(256, rng.integers(0, 40), replace=False):
+                row[bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+        d = np.bitwise_count(prints[:, None, :] ^ prints[None, :, :]).sum(axis=2)
+        a, b = np.nonzero(np.triu(d <= 32, 1))
+        weight, label = d[a, b].astype(np.int64), rng.integers(0, 45, n)
+        label = np.unique(label, return_inverse=True)[1]
+        chosen = shortest_forest(a, b, weight, label)
+        near = np.array([pack_bits((d[i] <= 32) & (np.arange(n) != i)) for i in range(n)])
+        links = grow_forest(prints, near, label)
+
+        def groups(pairs):
+            own = label.copy()
+            for i, j in pairs:
+                own[own == own[j]] = own[i]
+            return [np.flatnonzero(own == x).tolist() for x in sorted(set(own), key=lambda x: own.tolist().index(x))]
+
+        every = groups(zip(a, b, strict=True))
+        assert groups(zip(a[chosen], b[chosen], strict=True)) == every == groups(links)
+        assert sum(d[i, j] for i, j in links) == weight[chosen].sum() and len(links) == len(chosen)
