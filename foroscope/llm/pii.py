@@ -9,6 +9,7 @@ source. All offsets count code points. Each document is handled by itself; nothi
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +41,9 @@ DIGIT_NAMES = {
     "sechs": "6", "sieben": "7", "acht": "8", "neun": "9", "cero": "0", "uno": "1", "dos": "2", "tres": "3",
     "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
 }
-#: Names of the signs, in pairs that go together, and words that end no host name.
+#: Names of the signs, in pairs that go together.
 AT, DOT, PLUS = r"at|arobase|arroba|klammeraffe", r"dot|point|punkt|punto", r"plus|más"
 PAIRS = (("at", "dot"), ("arobase", "point"), ("arroba", "punto"), ("(?:klammeraffe|at)", "punkt"))
-NO_LABEL = r"(?!(?:the|a|an|of|on|in|is|and|to|it|or|for|with|was|that|this)(?![A-Za-z0-9-]))"
 
 
 @Memo
@@ -99,12 +99,14 @@ class Mapped:
 
     def rewrite(self, pattern: re.Pattern, output) -> "Mapped":
         """Each match becomes ``output(match)``, whose characters stand for the whole match."""
+        return self.replace((*m.span(), output(m)) for m in pattern.finditer(self.text))
+
+    def replace(self, changes) -> "Mapped":
+        """Each (start, end, new) in order: the new characters stand for the whole stretch."""
         parts, starts, ends, at = [], [], [], 0
-        for m in pattern.finditer(self.text):
-            new = output(m)
-            if new == m.group():
+        for a, b, new in changes:
+            if new == self.text[a:b]:
                 continue
-            a, b = m.span()
             parts += [self.text[at:a], new]
             starts += [self.starts[at:a], np.full(len(new), self.starts[a])]
             ends += [self.ends[at:a], np.full(len(new), self.ends[b - 1])]
@@ -142,26 +144,52 @@ PLUS_NAME = re.compile(rf"(?<![^\W_])(?:{PLUS})\x20(?=[0-9])", re.I)
 OPEN, CLOSE = r"\x20?[(\[{<]\x20?", r"\x20?[)\]}>]\x20?"
 BRACKETED_AT = re.compile(rf"{OPEN}(?:@|{AT}){CLOSE}", re.I)
 BRACKETED_DOT = re.compile(rf"{OPEN}(?:\.|{DOT}){CLOSE}", re.I)
-LABEL = rf"{NO_LABEL}[A-Za-z0-9-]+"
-LOCAL_PART = r"(?<![A-Za-z0-9._%+-])(?P<local>[A-Za-z0-9%+-]+(?:(?:[._]|{dot})[A-Za-z0-9%+-]+)*)"
-
-
-def in_words(at: str, dot: str) -> re.Pattern:
-    """An address with at least its last dot in words."""
-    dot = rf"\x20{dot}\x20"
-    return re.compile(LOCAL_PART.format(dot=dot) + rf"(?:\x20{at}\x20|\x20?@\x20?)(?P<host>{LABEL}(?:(?:\.|{dot}){LABEL})*"
-                      rf"{dot}{NO_LABEL}[A-Za-z]{{2,24}}(?:(?:\.|{dot}){NO_LABEL}[A-Za-z]{{2,24}})*)(?![A-Za-z0-9])",
-                      re.I)
-
-
-WORDS = [in_words(*pair) for pair in PAIRS]
-SPACED = re.compile(LOCAL_PART.format(dot=r"\.") + rf"(?:\x20@\x20?|@\x20)(?P<host>{LABEL}(?:\x20?\.\x20?{LABEL})*\x20?\.\x20?[A-Za-z]{{2,24}})"
-                    rf"(?![A-Za-z0-9])", re.I)
-ANY_DOT = re.compile(rf"\x20(?:{DOT})\x20|\x20?\.\x20?", re.I)
-SPELLED_IP = re.compile(rf"(?<![0-9.])[0-9]{{1,3}}(?:(?:\.|\x20(?:{DOT})\x20)[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
-HINT = re.compile(rf"[(\[{{<]\x20?(?:@|\.|{AT}|{DOT})\x20?[)\]}}>]|\x20(?:{DOT})\x20|\x20@|@\x20", re.I)
-#: Hints are looked at with so many characters on both sides; no identifier is longer.
+BLANKS = r"[\x20\t\r\n]{1,4}"
+
+
+def around(word: str) -> str:
+    """A sign as a word between blanks or line breaks, or between hyphens."""
+    return rf"(?:{BLANKS}(?:{word}){BLANKS}|\x20-(?:{word})-\x20?)"
+
+
+def chain(dot: str, label: str = r"[A-Za-z0-9%+_-]") -> re.Pattern:
+    """Labels with dots between them, taken whole, so that a scan over chains is linear."""
+    return re.compile(rf"(?<![A-Za-z0-9._%+-]){label}++(?:{dot}{label}++)*+", re.I)
+
+
+PLAIN_CHAIN, SPACED_HOST = chain(r"\."), chain(r"(?:\x20?\.\x20?)", "[A-Za-z0-9-]")
+ANY_DOT = re.compile(rf"{around(DOT)}|\x20?\.\x20?", re.I)
+WORD_DOT = re.compile(around(DOT), re.I)
+#: Local part, sign, host of an address with its last dot in words, by language.
+WORDS = [(chain(rf"(?:\.|{around(dot)})"), re.compile(rf"{around(at)}|\x20?@\x20?", re.I),
+          chain(rf"(?:\.|{around(dot)})", "[A-Za-z0-9-]")) for at, dot in PAIRS]
+SPACED_AT, WORD_AT = re.compile(r"\x20@\x20?|@\x20"), re.compile(around(AT), re.I)
+#: Words that end no host name.
+NO_LABELS = frozenset("the a an of on in is and to it or for with was that this".split())
+TOP_LABEL = re.compile(r"[A-Za-z]{2,24}")
+#: "at" in words before a host with plain dots is an address only where a line begins, behind a cue, or if the part before
+#: it is no plain word: "meet me at example.com" is prose. Endings and cues.
+TOPS = frozenset("com org net edu gov info io co eu de fr es uk us it nl example test".split())
+CUE = r"(?:e-?mail|mail|contact|write(?:\x20to)?|reach|address|correo|courriel|kontakt)"
+BEFORE = re.compile(rf"(?:\n[\x20\t]*|(?<![A-Za-z]){CUE}(?:\x20is|\x20at)?[:\x20]{{1,2}})$", re.I)
+ODD_NAME = re.compile(r"[0-9._%+]")
+#: Words that stand before "at" in prose.
+NOT_NAMES = frozenset("""me us you it him her them look looked looking found available hosted meet met only also online site
+ live here there visit see and or is are was were be been page pages shop store office home""".split())
+#: Single letters with a blank between all of them.
+LETTERS = re.compile(r"(?<!\S)(?<!\s[A-Za-z0-9._%+-]\x20)(?:[A-Za-z0-9._%+-]\x20){2,}+@\x20(?:[A-Za-z0-9.-]\x20)++[A-Za-z](?!\S)")
+SPELLED_IP = re.compile(rf"(?<![0-9.])[0-9]{{1,3}}(?:(?:\.|{around(DOT)})[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
+#: Four groups of one to three spelled digits with a dot, as a sign or a word, between them.
+ONE_DIGIT = rf"(?:{NAME}|[0-9])"
+GROUP = rf"{ONE_DIGIT}(?:[\x20-]{ONE_DIGIT}){{0,2}}"
+NAMED_IP = re.compile(rf"(?<![^\W_])(?<![0-9]\.)(?:{GROUP})(?:(?:\x20?\.\x20?|{around(DOT)})(?:{GROUP})){{3}}(?![^\W_])", re.I)
+HINT = re.compile(rf"[(\[{{<]\x20?(?:@|\.|{AT}|{DOT})\x20?[)\]}}>]|[\x20\t\n-](?:{DOT})[\x20\t\r\n-]|\x20@|@\x20|"
+                  rf"[\x20\t\n-](?:{AT})[\x20\t\r\n-]{{1,4}}[A-Za-z0-9-]+\.[A-Za-z]", re.I)
+#: Hints are looked at with so many characters on both sides, and as many more as an identifier may take.
 REACH = 320
+#: A word that no identifier takes up: plain letters, not the name of a digit or a sign.
+PLAIN_WORD = re.compile(rf"(?!(?:{NAME}|{AT}|{DOT}|{PLUS})(?![^\W\d_]))[^\W\d_]{{2,}}[,;:!?]?", re.I)
+TOKEN = re.compile(r"\S+")
 
 
 def luhn(digits: str) -> bool:
@@ -206,19 +234,42 @@ def matches(text: str):
                 yield 3, *m.span()
 
 
+def plain(token: str) -> bool:
+    return token.isascii() and PLAIN_WORD.fullmatch(token) is not None
+
+
 def windows(text: str) -> list[tuple[int, int]]:
-    """Parts of the text that may hold disguised data."""
+    """Parts of the text that may hold disguised data; each ends, on either side, between two plain words."""
     places = odd_places(text)
     places += [m.start() for m in SPELLED_HINT.finditer(text)]
     places += [m.start() for m in HINT.finditer(text)]
-    found: list[tuple[int, int]] = []
+    if not places:
+        return []
+    tokens = [m.span() for m in TOKEN.finditer(text)] or [(0, len(text))]
+    starts = [a for a, _ in tokens]
+    safe: dict[int, bool] = {}
+
+    def is_plain(i: int) -> bool:
+        if i not in safe:
+            safe[i] = plain(text[slice(*tokens[i])])
+        return safe[i]
+
+    found: list[list[int]] = []
     for p in sorted(places):
-        a, b = max(p - REACH, 0), min(p + REACH, len(text))
-        if found and a <= found[-1][1]:
-            found[-1] = (found[-1][0], b)
+        last = max(bisect_right(starts, p + REACH) - 1, 0)
+        if found and last <= found[-1][1]:
+            continue
+        first = max(bisect_right(starts, p - REACH) - 1, 0)
+        least = found[-1][1] + 1 if found else 0
+        while first > least and not (is_plain(first) and is_plain(first - 1)):
+            first -= 1
+        while last + 1 < len(tokens) and not (is_plain(last) and is_plain(last + 1)):
+            last += 1
+        if found and first <= least:
+            found[-1][1] = last
         else:
-            found.append((a, b))
-    return found
+            found.append([first, last])
+    return [(tokens[a][0], tokens[b][1]) for a, b in found]
 
 
 def spelled_number(m: re.Match) -> str:
@@ -227,20 +278,69 @@ def spelled_number(m: re.Match) -> str:
     return GAP_IN_NUMBER.sub("", ONE_NAME.sub(lambda x: DIGIT_NAMES[x.group().lower()], m.group()))
 
 
-def plain_address(m: re.Match) -> str:
-    return ANY_DOT.sub(".", m["local"]) + "@" + ANY_DOT.sub(".", m["host"])
+def host_of(text: str, first: int, end: int, worded: bool) -> tuple[int, str] | None:
+    """Longest part of a chain of labels that is a host name, with at least one dot in words if asked for."""
+    best, at, labels, words = None, first, [], False
+    while at < end:
+        dot = ANY_DOT.search(text, at, end)
+        label = text[at:dot.start() if dot else end]
+        if label.lower() in NO_LABELS:
+            break
+        labels.append(label)
+        if len(labels) > 1 and TOP_LABEL.fullmatch(label) and (words or not worded):
+            best = at + len(label), ".".join(labels)
+        if not dot:
+            break
+        words |= WORD_DOT.match(text, dot.start()) is not None
+        at = dot.end()
+    return best
+
+
+def addresses(text: str, local: re.Pattern, sign: re.Pattern, host: re.Pattern, worded: bool, accept=None):
+    """(start, end, address) of disguised addresses: a chain, a sign, a chain."""
+    last = 0
+    for m in local.finditer(text):
+        at = sign.match(text, m.end()) if m.start() >= last else None
+        right = host.match(text, at.end()) if at else None
+        found = host_of(text, right.start(), right.end(), worded) if right else None
+        if found and (accept is None or accept(m, found[1])):
+            last = found[0]
+            yield m.start(), last, ANY_DOT.sub(".", m.group()) + "@" + found[1]
+
+
+def named(begins: bool):
+    """Whether a plain chain before "at" is the name of a mailbox."""
+    def accept(m: re.Match, host: str) -> bool:
+        ahead = m.string[max(m.start() - 32, 0):m.start()]
+        cue = BEFORE.search(ahead) or (begins and not m.string[:m.start()].strip())
+        name = m.group()
+        return host.rsplit(".", 1)[1].lower() in TOPS and name.lower() not in NOT_NAMES and bool(
+            cue or ODD_NAME.search(name))
+    return accept
+
+
+def named_ip(m: re.Match) -> str:
+    """Spelled groups as numbers, if some digit was spelled."""
+    if not ONE_NAME.search(m.group()):
+        return m.group()
+    groups = [ONE_NAME.sub(lambda x: DIGIT_NAMES[x.group().lower()], g) for g in ANY_DOT.sub(".", m.group()).split(".")]
+    return ".".join(NOT_DIGITS.sub("", g) for g in groups)
 
 
 def unmask(part: Mapped) -> Mapped:
     part = part.plain()
+    part = part.rewrite(LETTERS, lambda m: m.group().replace(" ", ""))
+    part = part.rewrite(NAMED_IP, named_ip)
     part = part.rewrite(SPELLED, spelled_number)
     part = part.rewrite(PLUS_NAME, lambda m: "+")
     part = part.rewrite(BRACKETED_AT, lambda m: "@")
     part = part.rewrite(BRACKETED_DOT, lambda m: ".")
     part = part.rewrite(SPELLED_IP, lambda m: ANY_DOT.sub(".", m.group()))
-    for pattern in WORDS:
-        part = part.rewrite(pattern, plain_address)
-    return part.rewrite(SPACED, plain_address)
+    for patterns in WORDS:
+        part = part.replace(addresses(part.text, *patterns, True))
+    begins = bool(len(part.starts)) and part.starts[0] == 0
+    part = part.replace(addresses(part.text, PLAIN_CHAIN, WORD_AT, PLAIN_CHAIN, False, named(begins)))
+    return part.replace(addresses(part.text, PLAIN_CHAIN, SPACED_AT, SPACED_HOST, False))
 
 
 def find(text: str) -> tuple[list[tuple], list[tuple]]:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from conftest import SF
 
@@ -44,6 +45,13 @@ def test_disguises_map_back_to_the_source():
         "from 97 dot 51 dot 17 dot 173": "ip:5:29", "+１ 499 555 6503": "phone:0:15",
         "plus one four nine nine five five five six five zero three": "phone:0:58",
         "four seven three six nine six two five seven three zero nine nine five eight one": "card:0:80",
+        "jane at example.com": "email:0:19", "jane  at  example  dot  com": "email:0:27",
+        "jane\nat\nexample\ndot\ncom": "email:0:23", "jane -at- example -dot- com": "email:0:27",
+        "one nine two dot one six eight dot one dot one": "ip:0:46", "j a n e @ e x a m p l e . c o m": "email:0:31",
+        "write to bob at example.org today": "email:9:27", "is x.y at mail.net ours": "email:3:18",
+        "a" * 400 + " [at] example [dot] com": "email:0:423",
+        "so " + "a dot " * 300 + "b at example dot com or": f"email:3:{3 + 1800 + 20}",
+        "see " + "x" * 700 + " dot y at " + "example dot " * 90 + "com now": f"email:4:{4 + 700 + 10 + 1080 + 3}",
     }
     for text, spans in cases.items():
         base, more = find(text)
@@ -51,7 +59,9 @@ def test_disguises_map_back_to_the_source():
 
 
 def test_plain_prose_is_left_alone():
-    for text in ("we met at noon . then we left", "look at the point of it", "one two three, four", "meet me at example.com"):
+    for text in ("we met at noon . then we left", "look at the point of it", "one two three, four", "meet me at example.com",
+                 "hosted at example.com", "he was at home. at example.com it is", "the price at store.com is low",
+                 "a point of order at the dot of noon", "look - at me"):
         assert find(text) == ([], [])
 
 
@@ -68,3 +78,20 @@ def test_query(spark, frame):
 
 def test_long_runs_take_linear_time():
     find("1" * 200_000 + " " + "a" * 200_000 + "@ " + "+" * 50_000 + "9 " * 50_000)
+    for text in ("one dot " * 50_000, "a" * 100_000 + " dot com ", "a-" * 50_000 + " dot com", "x at y.com " * 20_000,
+                 "a b " * 50_000 + "@ c . d", "a.b." * 20_000 + " at c dot com"):
+        start = time.process_time()
+        find(text)
+        assert time.process_time() - start < 20
+
+
+def test_windows_end_between_plain_words():
+    """Whatever lies around an identifier, the same span is found in it."""
+    random.seed(6)
+    words = ["plain", "words", "one", "dot", "at", "7", "net.", "(x)", "é", "and"]
+    for _ in range(300):
+        left, right = ([random.choice(words) for _ in range(random.randint(0, 300))] for _ in range(2))
+        ahead = " ".join([*left, "so", "then", ""])
+        text = ahead + "john (at) example (dot) com " + " ".join(["now", "then", *right])
+        found = [text[a:b] for a, k, b in find(text)[1] if k == 0]
+        assert "john (at) example (dot) com" in found, text
