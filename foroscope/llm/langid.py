@@ -13,13 +13,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foroscope.llm.common import Memo, id_text, row_key, ship_by_value, to_batch
+from foroscope.session import stage
 
 ship_by_value(__name__)
 
 SIZE = 1024
+NONE = "\U0010ffff"
 GRAM = 3
-CHUNK = 1 << 20  # characters whose n-grams are bound together
-MOST_LANGUAGES = 4096  # prototypes that a task holds
+CHUNK = 1 << 19  # characters whose n-grams are counted together
+OWNERS = 512  # texts that are counted together
+GRAMS = 2048  # different n-grams that are bound at once
+LANGUAGES = 4096  # prototypes that a pass over the texts holds
 
 
 @Memo
@@ -51,7 +55,7 @@ def bundles(texts: list[tuple[int, np.ndarray]], n_owners: int) -> np.ndarray:
         for i in range(0, max(len(codes) - GRAM + 1, 0), CHUNK):
             pieces.append((owner, codes[i:i + CHUNK + GRAM - 1]))
             size += len(pieces[-1][1])
-            if size >= CHUNK:
+            if size >= CHUNK or len(pieces) >= OWNERS:
                 add_bundles(pieces, total)
                 pieces, size = [], 0
     if pieces:
@@ -74,68 +78,90 @@ def add_bundles(pieces: list[tuple[int, np.ndarray]], total: np.ndarray) -> None
     rows, row = np.unique(owners, return_inverse=True)
     row = np.repeat(row, [len(c) - GRAM + 1 for _, c in pieces])
     grams, column = np.unique(gram, return_inverse=True)
-    counts = np.bincount(row * len(grams) + column, minlength=len(rows) * len(grams)).reshape(len(rows), -1)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
     vectors = np.stack([letter_vector(int(c)) for c in names])
-    bound = np.ones((len(grams), SIZE), np.int8)
-    rest = grams
-    for k in range(GRAM):  # from the last letter, not rotated, to the first
-        rest, letter = np.divmod(rest, len(names))
-        bound *= np.roll(vectors, k, axis=1)[letter]
-    # sums of less than 2 ** 24 are exact
-    total[rows] += np.rint(counts.astype(np.float32) @ bound.astype(np.float32)).astype(np.int64)
+    for first in range(0, len(grams), GRAMS):  # a block of n-grams at a time, whatever the alphabet
+        block = grams[first:first + GRAMS]
+        a, b = np.searchsorted(column, (first, first + len(block)))
+        own, here = np.unique(row[a:b], return_inverse=True)
+        counts = np.bincount(here * len(block) + column[a:b] - first, minlength=len(own) * len(block))
+        bound = np.ones((len(block), SIZE), np.int8)
+        rest = block
+        for k in range(GRAM):  # from the last letter, not rotated, to the first
+            rest, letter = np.divmod(rest, len(names))
+            bound *= np.roll(vectors[letter], k, axis=1)
+        # sums of less than 2 ** 24 are exact
+        part = counts.reshape(len(own), -1).astype(np.float32) @ bound.astype(np.float32)
+        total[rows[own]] += np.rint(part).astype(np.int64)
 
 
 def teach(batches):
-    """One bundle per language of a task's texts."""
+    """One bundle per language of a task's texts; sums that have grown too many go out in parts."""
     schema = pa.schema([("lang", pa.string()), ("bundle", pa.list_(pa.int64()))])
     known: dict[str, np.ndarray] = {}
     for batch in batches:
-        langs = batch.column("lang").to_pylist()
-        names = sorted(set(langs))
-        number = {x: i for i, x in enumerate(names)}
-        texts = [(number[x], letters(t)) for x, t in zip(langs, batch.column("text").to_pylist(), strict=True)]
-        for name, vector in zip(names, bundles(texts, len(names)), strict=True):
-            known[name] = known.get(name, 0) + vector
-        if len(known) > MOST_LANGUAGES:
-            raise ValueError(f"more than {MOST_LANGUAGES} languages")
+        langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
+        for at in range(0, len(langs), OWNERS):
+            names = sorted(set(langs[at:at + OWNERS]))
+            number = {x: i for i, x in enumerate(names)}
+            rows = [(number[x], letters(t)) for x, t in zip(langs[at:at + OWNERS], texts[at:at + OWNERS], strict=True)]
+            for name, vector in zip(names, bundles(rows, len(names)), strict=True):
+                known[name] = known.get(name, 0) + vector
+            if len(known) > LANGUAGES:
+                yield to_batch(schema, list(known), [v.tolist() for v in known.values()])
+                known = {}
     yield to_batch(schema, list(known), [v.tolist() for v in known.values()])
 
 
-def prototypes(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
-    """Languages and their unit vectors, from all rows with text and language."""
+def prototypes(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> list[tuple[list[str], np.ndarray]]:
+    """Languages and their unit vectors, from all rows with text and language, in blocks of about ``LANGUAGES``."""
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).filter(
         "text is not null and lang is not null")
     parts = rows.mapInArrow(teach, "lang string, bundle array<long>")
     sums = parts.select("lang", F.posexplode("bundle")).groupBy("lang", "pos").agg(F.sum("col").alias("x"))
-    got = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("v")).filter(
-        F.exists("v", lambda p: p["x"] != 0)).limit(MOST_LANGUAGES + 1).collect()
-    if len(got) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    got.sort(key=lambda r: r.lang)
-    vectors = np.array([[p.x for p in r.v] for r in got], float).reshape(-1, SIZE)
-    return [r.lang for r in got], vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-
-
-def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id",
+    taught = stage(sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("v")).filter(
+        F.exists("v", lambda p: p["x"] != 0)), "prototypes")
+    n = -(-taught.count() // LANGUAGES)
+    out = []
+    for i in range(n):
+        got = sorted(taught.filter(F.pmod(F.xxhash64("lang"), F.lit(n)) == i).collect(), key=lambda r: r.lang)
+        vectors = np.array([[p.x for p in r.v] for r in got], float).reshape(-1, SIZE)
+        out.append(([r.lang for r in got], vectors / np.linalg.norm(vectors, axis=1, keepdims=True)))
+    return [x for x in out if x[0]]
+
+
+def identify(docs: DataFrame, model: list[tuple[list[str], np.ndarray]], id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """(id, lang_pred, score) for every row. The score is the cosine, 0 where it is negative."""
-    names, matrix = model
-    schema = pa.schema([("id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
-
-    def run(batches):
-        for batch in batches:
-            texts = [letters(t or "") for t in batch.column("text").to_pylist()]
-            found = bundles(list(enumerate(texts)), len(texts)).astype(float)
-            norm = np.linalg.norm(found, axis=1)
-            known = (norm > 0) & bool(names)
-            cosine = found @ matrix.T / np.maximum(norm, 1)[:, None] if names else np.zeros((len(texts), 1))
-            best = cosine.argmax(axis=1) if len(texts) else np.zeros(0, int)
-            score = np.clip(cosine.max(axis=1, initial=-1), 0, 1)
-            yield to_batch(schema, batch.column("id"), [names[b] if k else "und" for b, k in zip(best, known, strict=True)],
-                           np.where(known, score, 0.0))
-
-    return docs.select(row_key(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "id long, lang_pred string, score double")
+    """(id, lang_pred, score) for every row. The score is the cosine, 0 where it is negative; each block of languages is
+    one step over the texts, the better of two blocks stays."""
+    schema = pa.schema([("id", pa.int64()), ("text", pa.string()), ("lang_pred", pa.string()), ("score", pa.float64())])
+
+    def compare(names, matrix):
+        def run(batches):
+            for batch in batches:
+                for at in range(0, batch.num_rows, OWNERS):
+                    part = batch.slice(at, OWNERS)
+                    texts = [letters(t or "") for t in part.column("text").to_pylist()]
+                    found = bundles(list(enumerate(texts)), len(texts)).astype(float)
+                    norm = np.linalg.norm(found, axis=1)
+                    cosine = np.clip(found @ matrix.T / np.maximum(norm, 1)[:, None], 0, 1)
+                    best = cosine.argmax(axis=1)
+                    score = cosine[np.arange(len(texts)), best]
+                    rows = zip(norm > 0, best, score, part.column("lang_pred").to_pylist(), part.column("score").to_pylist(),
+                               strict=True)
+                    chosen = [(names[b], s) if known and (-s, names[b]) < (-t, old) else (old, t)
+                              for known, b, s, old, t in rows]
+                    yield to_batch(schema, part.column("id"), part.column("text"), [c[0] for c in chosen],
+                                   [c[1] for c in chosen])
+        return run
+
+    # nothing is worse than no language: every name comes before the last code point
+    rows = docs.select(row_key(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.lit(NONE).alias("lang_pred"),
+                       F.lit(0.0).alias("score"))
+    for names, matrix in model:
+        rows = rows.mapInArrow(compare(names, matrix), "id long, text string, lang_pred string, score double")
+    return rows.select("id", F.when(F.col("lang_pred") == NONE, "und").otherwise(F.col("lang_pred")).alias("lang_pred"), "score")
 
 
 def held_out(id_col: str = "doc_id"):

@@ -1,7 +1,11 @@
+import random
+import subprocess
+import sys
 import zlib
 
 from conftest import SF
 
+from foroscope.llm import langid
 from foroscope.llm.langid import SIZE, bundles, languages, letters
 
 from .conftest import ODD
@@ -41,3 +45,31 @@ def test_bundles_add_up():
     each = bundles(list(enumerate(texts)), 4)
     assert (bundles([(0, t) for t in texts], 1)[0] == each.sum(axis=0)).all()
     assert each.shape == (4, SIZE) and not each[2].any() and abs(each[3]).max() == 1
+
+
+def test_blocks_of_languages_and_grams_change_nothing(spark, frame, monkeypatch):
+    rng = random.Random(5)
+    alphabets = {f"l{k:02d}": [chr(0x4E00 + 40 * k + i) for i in range(30)] for k in range(12)}
+    rows = [(i, " ".join("".join(rng.choices(alphabets[lang], k=3)) for _ in range(8)), lang)
+            for i, lang in enumerate(sorted(alphabets) * 12)]
+    first = sorted(map(tuple, languages(frame(rows)).collect()))
+    assert sum(p == rows[i][2] for i, _, p, _ in first) > 0.95 * len(rows)
+    for name, value in (("LANGUAGES", 3), ("GRAMS", 7), ("OWNERS", 5), ("CHUNK", 50)):
+        monkeypatch.setattr(langid, name, value)
+    assert [r[:3] for r in sorted(map(tuple, languages(frame(rows)).collect()))] == [r[:3] for r in first]
+
+
+def test_memory_of_large_alphabets():
+    """A text of a million characters of a large alphabet, and ten thousand short ones."""
+    code = """
+import random, resource
+from foroscope.llm.langid import bundles, letters
+rng = random.Random(1)
+base = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+text = lambda n: "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(n))
+assert bundles([(0, letters(text(1_000_000)))], 1).any()
+assert bundles([(i, letters(text(100))) for i in range(10_000)], 10_000).any(axis=1).all()
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - base) // 1024)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=600)
+    assert int(done.stdout) < 500
