@@ -4,8 +4,11 @@ Suffixes that share 50 bytes share every choice that depends on these bytes alon
 of its anchor, the smallest hash among the 16-byte strings inside its 50 bytes: suffixes that could be adjacent with a
 common prefix of 50 bytes always meet in one shard. Positions of one anchor are consecutive and travel as one context,
 named by its hash. Contexts with the same name have the same suffixes: all but those of the smallest document are
-repeats. Where an anchor has differently named contexts in several documents, the contexts themselves go to the shard.
-There the suffix array is built by the difference cover modulo 3 (sorted triples at two thirds of the positions are named,
+repeats. Where an anchor has differently named contexts in several documents, the contexts themselves go to the shard;
+those that agree with none of another document in the 17 bytes on one side of the anchor cannot share 50 and are left out.
+An anchor with more than ``HOT`` open contexts (the edge of a very common line) is not sorted in one task: its 50-byte
+strings are compared one by one, by name, those that repeat in a batch only once.
+In a shard the suffix array is built by the difference cover modulo 3 (sorted triples at two thirds of the positions are named,
 the names are sorted by recursion, the remaining suffixes are sorted by them and merged), and adjacent suffixes are
 compared in their first 50 bytes.
 """
@@ -25,13 +28,21 @@ LENGTH = 50
 GRAM = 16
 WINDOW = LENGTH - GRAM + 1  # 16-byte strings inside 50 bytes
 PIECE = 1 << 22  # bytes that are hashed at once; positions in a piece fit in 24 bits
-SHARD = 1 << 20  # bytes of contexts sorted at once; a larger anchor is sorted by itself
+SHARD = 1 << 20  # bytes of contexts sorted at once
+#: Contexts of one anchor that would not fit a shard are compared string by string, each string in a group of its own.
+HOT = SHARD // (LENGTH + GRAM)
 LOW24 = np.uint64((1 << 24) - 1)
-COUNT_BITS, TAG_BITS = 6, 20
+COUNT_BITS = 6
+#: Of the 34 bytes of a shared string beside its anchor, so many are on one side.
+SIDE = (LENGTH - GRAM) // 2
 ROWS = pa.schema([("kind", pa.int8()), ("key", pa.int64()), ("name", pa.int64()), ("id", pa.int64()),
-                  ("place", pa.int64())])
-FOUND = pa.schema([("kind", pa.int8()), ("key", pa.int64()), ("id", pa.int64()), ("place", pa.int64())])
-CONTEXT = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("place", pa.int64()), ("context", pa.binary())])
+                  ("version", pa.int64()), ("place", pa.int64())])
+ROWS_SQL = "kind byte, key long, name long, id long, version long, place long"
+FOUND = pa.schema([("kind", pa.int8()), ("key", pa.int64()), ("id", pa.int64()), ("version", pa.int64()),
+                   ("place", pa.int64())])
+FOUND_SQL = "kind byte, key long, id long, version long, place long"
+CONTEXT = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("version", pa.int64()), ("place", pa.int64()),
+                     ("context", pa.binary())])
 GONE, ASK = 0, 1
 
 def gram_hashes(text: np.ndarray) -> np.ndarray:
@@ -68,18 +79,27 @@ def contexts(text: bytes):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return np.concatenate(firsts), np.concatenate(counts), np.concatenate(keys)
 
-def pack(first, count, tag):
-    return (first << TAG_BITS | tag) << COUNT_BITS | count
+def pack(first, count):
+    return first << COUNT_BITS | count
 
 def unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return place >> COUNT_BITS + TAG_BITS, place & ((1 << COUNT_BITS) - 1)
+    return place >> COUNT_BITS, place & ((1 << COUNT_BITS) - 1)
+
+def first_of_batch(key, name, doc, version, place) -> pa.RecordBatch:
+    """Of rows with one name only those of the smallest document go on; the others are gone already."""
+    order = np.lexsort((doc, name, key))
+    start = group_starts([key[order], name[order]])
+    smallest = np.repeat(doc[order][start], np.diff(np.append(start, len(order))))
+    kind = np.full(len(order), ASK, np.int8)
+    kind[order] = np.where(doc[order] > smallest, GONE, ASK)
+    return to_batch(ROWS, kind, key, name, doc, version, place)
 
 def name_contexts(batches):
-    """Contexts of whole texts. Of those that repeat inside a batch, only the smallest document's go on."""
+    """Contexts of whole texts."""
     for batch in batches:
-        key, name, doc, place = [], [], [], []
-        for i, tag, text in zip(batch.column("id").to_pylist(), batch.column("tag").to_pylist(), texts_of(batch),
-                                strict=True):
+        key, name, doc, versions, place = [], [], [], [], []
+        for i, version, text in zip(batch.column("id").to_pylist(), batch.column("version").to_pylist(), texts_of(batch),
+                                    strict=True):
             first, count, hashes = contexts(text)
             if not len(first):
                 continue
@@ -89,51 +109,72 @@ def name_contexts(batches):
                                  np.uint64))
             key.append(hashes)
             doc.append(np.full(len(first), i))
-            place.append(pack(first, count, tag))
-        if not key:
-            continue
-        key, name = (np.concatenate(x).view(np.int64) for x in (key, name))
-        doc, place = np.concatenate(doc), np.concatenate(place)
-        order = np.lexsort((doc, name, key))
-        start = group_starts([key[order], name[order]])
-        smallest = np.repeat(doc[order][start], np.diff(np.append(start, len(order))))
-        kind = np.full(len(order), ASK, np.int8)
-        kind[order] = np.where(doc[order] > smallest, GONE, ASK)
-        yield to_batch(ROWS, kind, key, name, doc, place)
+            versions.append(np.full(len(first), version))
+            place.append(pack(first, count))
+        if key:
+            key, name = (np.concatenate(x).view(np.int64) for x in (key, name))
+            yield first_of_batch(key, name, np.concatenate(doc), np.concatenate(versions), np.concatenate(place))
+
+def name_strings(batches):
+    """The 50-byte strings of the contexts of hot anchors, one by one."""
+    for batch in batches:
+        name, doc, versions, place = [], [], [], []
+        for i, version, text, asked in zip(batch.column("id").to_pylist(), batch.column("version").to_pylist(),
+                                           texts_of(batch), batch.column("asked").to_pylist(), strict=True):
+            view, digest = memoryview(text), xxhash.xxh3_64_intdigest
+            for x in asked:
+                first, count = unpack(x["place"])
+                name += [digest(view[p:p + LENGTH]) for p in range(first, first + count)]
+                place += [pack(p, 1) for p in range(first, first + count)]
+                doc += [i] * count
+                versions += [version] * count
+        if name:
+            name = np.array(name, np.uint64).view(np.int64)
+            yield first_of_batch(name, name, np.array(doc), np.array(versions), np.array(place))
 
 def compare_names(batches):
-    """By anchor: contexts that a smaller document has too are gone, others that may share a part are asked about."""
-    for batch in split_kinds(batches):
-        if isinstance(batch, pa.RecordBatch):
-            yield batch
+    """By anchor: contexts that a smaller document has too are gone, others that may share a part are asked about.
+
+    Rows come sorted by kind, anchor, name and document and are read as a stream. Of an anchor whose contexts have one
+    name, or come from one document, the open ones are held back; once it has more, they pass."""
+    last, held, several = None, None, False
+    for batch in batches:
+        kind, key, name, doc, version, place = (batch.column(c).to_numpy() for c in ROWS.names)
+        gone = int(np.count_nonzero(kind == GONE))
+        if gone:
+            yield batch.slice(0, gone).select(FOUND.names)
+        key, name, doc, version, place = (c[gone:] for c in (key, name, doc, version, place))
+        if not len(key):
             continue
-        table, starts = batch
-        key, name, doc, place = (table.column(c).to_numpy() for c in ("key", "name", "id", "place"))
-        named = group_starts([key, name])
-        first = np.repeat(doc[named], np.diff(np.append(named, len(key))))
-        sizes = np.diff(np.append(starts, len(key)))
-        several = np.add.reduceat(np.isin(np.arange(len(key)), named).astype(np.int64), starts) > 1
-        several &= np.maximum.reduceat(doc, starts) > np.minimum.reduceat(doc, starts)
-        kind = np.where(doc > first, GONE, np.where(np.repeat(several, sizes), ASK, -1)).astype(np.int8)
-        rows = np.flatnonzero(kind >= 0)
-        yield to_batch(FOUND, kind[rows], key[rows], doc[rows], place[rows])
-
-def split_kinds(batches):
-    """Rows that are decided come first in a partition and pass; the others come as whole groups of an anchor."""
-    def asked():
-        for batch in batches:
-            gone = int(np.count_nonzero(batch.column("kind").to_numpy() == GONE))
-            if gone:
-                passed.append(batch.slice(0, gone).select(["kind", "key", "id", "place"]))
-            if gone < batch.num_rows:
-                yield batch.slice(gone)
-
-    passed: list[pa.RecordBatch] = []
-    for group in whole_groups(asked(), ["key"]):
-        while passed:
-            yield passed.pop()
-        yield group
-    yield from passed
+        starts = group_starts([key, name])
+        first = np.repeat(doc[starts], np.diff(np.append(starts, len(key))))
+        if last and last[:2] == (key[0], name[0]):
+            first[:len(key) if len(starts) == 1 else starts[1]] = last[2]
+        late = doc > first
+        yield to_batch(FOUND, np.full(int(late.sum()), GONE, np.int8), *(c[late] for c in (key, doc, version, place)))
+        if not (last and last[0] == key[0]):
+            held, several = None, False
+        last = (key[-1], name[-1], first[-1])
+        rows = [c[~late] for c in (key, name, doc, version, place)]
+        if held is not None:
+            rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+        held = None
+        if not len(rows[0]):
+            continue
+        starts = group_starts(rows[:1])
+        sizes = np.diff(np.append(starts, len(rows[0])))
+        names = np.zeros(len(rows[0]), np.int64)
+        names[group_starts(rows[:2])] = 1
+        many = (np.add.reduceat(names, starts) > 1) & (np.maximum.reduceat(rows[2], starts) >
+                                                       np.minimum.reduceat(rows[2], starts))
+        if several and rows[0][0] == batch.column("key")[gone].as_py():
+            many[0] = True
+        if rows[0][-1] == key[-1]:  # else the anchor that goes on had nothing open here
+            several = bool(many[-1])
+            if not several:
+                held = [c[starts[-1]:] for c in rows]
+        asked = np.repeat(many, sizes)
+        yield to_batch(FOUND, np.full(int(asked.sum()), ASK, np.int8), *(rows[i][asked] for i in (0, 2, 3, 4)))
 
 def one_key(*columns: np.ndarray) -> np.ndarray:
     """Rows of names as single numbers in the same order."""
@@ -209,13 +250,50 @@ def repeated_positions(pieces: list[bytes], docs: np.ndarray) -> np.ndarray:
         flags[order] = doc > smallest
     return flags
 
+def side_hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hash of the ``SIDE`` bytes from each place on."""
+    def word(offset):
+        return np.ndarray((len(data) - 8,), "<u8", data, 0, (1,))[at + offset]
+
+    h = word(0) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(31)) ^ word(8)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return (h ^ (h >> np.uint64(29)) ^ word(SIDE - 8)) * np.uint64(0xBF58476D1CE4E5B9)
+
+def may_share(pieces: list[bytes], keys: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Contexts that agree with one of another document in the 17 bytes on one side of their common anchor.
+
+    Contexts of one anchor that share 50 bytes share them around the anchor's 16, so 17 or more on one side."""
+    lengths = np.array([len(p) for p in pieces])
+    ends = np.cumsum(lengths)
+    data = np.frombuffer(b"".join(pieces) + bytes(2 * SIDE + GRAM), np.uint8)
+    piece = np.repeat(np.arange(len(pieces)), lengths)
+    at = np.flatnonzero(gram_hashes(data)[:len(piece)].view(np.int64) == keys[piece])
+    at = at[at + GRAM <= ends[piece[at]]]
+    left = at[at - SIDE >= (ends - lengths)[piece[at]]]
+    right = at[at + GRAM + SIDE <= ends[piece[at]]]
+    kept = np.zeros(len(pieces), bool)
+    for places, start in ((left, left - SIDE), (right, right + GRAM)):
+        if len(places):
+            own = piece[places]
+            sides = side_hashes(data, start)
+            order = np.lexsort((docs[own], sides, keys[own]))
+            own = own[order]
+            begin = group_starts([keys[own], sides[order]])
+            several = np.minimum.reduceat(docs[own], begin) < np.maximum.reduceat(docs[own], begin)
+            kept[own[np.repeat(several, np.diff(np.append(begin, len(own))))]] = True
+    return kept
+
 def sort_shards(batches):
     """Suffix arrays of whole anchors, some anchors to a shard; repeated positions as runs."""
     for table, starts in whole_groups(batches, ["key"]):
         pieces = table.column("context").to_pylist()
-        ids, places = table.column("id").to_numpy(), table.column("place").to_numpy()
+        keys, ids, versions, places = (table.column(c).to_numpy() for c in ("key", "id", "version", "place"))
+        kept = np.flatnonzero(may_share(pieces, keys, ids))
+        if not len(kept):
+            continue
+        pieces, keys, ids, versions, places = [pieces[i] for i in kept], keys[kept], ids[kept], versions[kept], places[kept]
         sizes = np.cumsum([len(p) + 1 for p in pieces])
-        ends = np.append(starts[1:], len(pieces))
+        ends = np.append(group_starts([keys])[1:], len(pieces))
         at = 0
         while at < len(pieces):  # whole anchors up to the size of a shard, one at least
             room = ends[np.searchsorted(ends, at, "right"):]
@@ -228,40 +306,48 @@ def sort_shards(batches):
             piece = np.searchsorted(offset, begin, "right")
             first, _ = unpack(places[at:stop][piece])
             inside = begin - np.append(0, offset)[piece]
-            tag = places[at:stop][piece] >> COUNT_BITS & ((1 << TAG_BITS) - 1)
             yield to_batch(FOUND, np.full(len(begin), GONE, np.int8), np.zeros(len(begin), np.int64),
-                           ids[at:stop][piece], pack(first + inside, end - begin, tag))
+                           ids[at:stop][piece], versions[at:stop][piece], pack(first + inside, end - begin))
             at = stop
 
 def cut_contexts(batches):
     for batch in batches:
-        keys, ids, places, cut = [], [], [], []
-        for i, text, asked in zip(batch.column("id").to_pylist(), texts_of(batch), batch.column("asked").to_pylist(),
-                                  strict=True):
+        keys, ids, versions, places, cut = [], [], [], [], []
+        for i, version, text, asked in zip(batch.column("id").to_pylist(), batch.column("version").to_pylist(),
+                                           texts_of(batch), batch.column("asked").to_pylist(), strict=True):
             for x in asked:
-                first, count = x["place"] >> COUNT_BITS + TAG_BITS, x["place"] & ((1 << COUNT_BITS) - 1)
+                first, count = unpack(x["place"])
                 keys.append(x["key"])
                 ids.append(i)
+                versions.append(version)
                 places.append(x["place"])
                 cut.append(text[first:first + count + LENGTH - 1])
-        yield to_batch(CONTEXT, keys, ids, places, cut)
+        yield to_batch(CONTEXT, keys, ids, versions, places, cut)
 
-def repeated_runs(docs: DataFrame) -> DataFrame:
-    """(id, tag, places) of (id, tag, text) rows: runs of positions whose 50 bytes begin in a smaller document too."""
-    rows = docs.mapInArrow(name_contexts, "kind byte, key long, name long, id long, place long")
-    # decided rows go anywhere, the others to the shard of their anchor
+def met_names(rows: DataFrame, name: str) -> DataFrame:
+    """Names of one anchor in one task; decided rows go anywhere."""
     shard = F.when(F.col("kind") == ASK, F.col("key")).otherwise(F.xxhash64("id", "place"))
-    met = rows.repartition(shard).sortWithinPartitions("kind", "key", "name", "id", "place")
-    found = stage(met.mapInArrow(compare_names, "kind byte, key long, id long, place long"), "contexts")
-    tag = (F.shiftright("place", COUNT_BITS).bitwiseAND(F.lit((1 << TAG_BITS) - 1))).cast("int")
-    asked = found.filter(F.col("kind") == ASK).groupBy("id", tag.alias("tag")).agg(
-        F.collect_list(F.struct("key", "place")).alias("asked"))
-    cut = docs.join(asked, ["id", "tag"]).select("id", "text", "asked").mapInArrow(
-        cut_contexts, "key long, id long, place long, context binary")
-    shards = cut.repartition("key").sortWithinPartitions("key", "id", "place")
-    more = shards.mapInArrow(sort_shards, "kind byte, key long, id long, place long")
-    gone = found.filter(F.col("kind") == GONE).unionByName(more)
-    return gone.groupBy("id", tag.alias("tag")).agg(F.collect_list("place").alias("places"))
+    met = rows.repartition(shard).sortWithinPartitions("kind", "key", "name", "id", "version", "place")
+    return stage(met.mapInArrow(compare_names, FOUND_SQL), name)
+
+def repeated_runs(docs: DataFrame) -> DataFrame:
+    """(id, version, places) of (id, version, text) rows: runs of positions whose 50 bytes begin in a smaller document."""
+    found = met_names(docs.mapInArrow(name_contexts, ROWS_SQL), "contexts")
+    open_ = found.filter(F.col("kind") == ASK)
+    hot = stage(open_.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("key"), "hot-anchors")
+
+    def with_texts(asked: DataFrame) -> DataFrame:
+        lists = asked.groupBy("id", "version").agg(F.collect_list(F.struct("key", "place")).alias("asked"))
+        return docs.join(lists, ["id", "version"]).select("id", "version", "text", "asked")
+
+    cut = with_texts(open_.join(hot, "key", "left_anti")).mapInArrow(
+        cut_contexts, "key long, id long, version long, place long, context binary")
+    shards = cut.repartition("key").sortWithinPartitions("key", "id", "version", "place")
+    gone = found.filter(F.col("kind") == GONE).unionByName(shards.mapInArrow(sort_shards, FOUND_SQL))
+    if not hot.isEmpty():
+        strings = with_texts(open_.join(hot, "key", "left_semi")).mapInArrow(name_strings, ROWS_SQL)
+        gone = gone.unionByName(met_names(strings, "strings").filter(F.col("kind") == GONE))
+    return gone.groupBy("id", "version").agg(F.collect_list("place").alias("places"))
 
 def kept_bytes(text: bytes, places: np.ndarray) -> tuple[bytes, int]:
     """The text without the bytes that the runs cover, and the number of maximal removed stretches."""
@@ -292,13 +378,16 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     stretches.
 
     Null texts are empty. Texts of less than 50 bytes lose nothing. Rows without an id count as one document behind all
-    others, and rows that repeat an id as one document: they take nothing from each other (a 20-bit checksum of the text
-    tells such rows apart). An empty table gives an empty result; further columns are ignored.
+    others, and rows that repeat an id as one document: they take nothing from each other (a 64-bit hash of the text, 0
+    where an id has one row only, tells such rows apart). An empty table gives an empty result; further columns are
+    ignored.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    tag = F.xxhash64(text).bitwiseAND(F.lit((1 << TAG_BITS) - 1)).cast("int")
-    rows = docs.select(row_key(id_col).alias("id"), tag.alias("tag"), text.alias("text"))
-    joined = rows.join(repeated_runs(rows), ["id", "tag"], "left").select("id", "text", "places")
+    rows = docs.select(row_key(id_col).alias("id"), text.alias("text"))
+    shared = stage(rows.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id"), "shared-ids")
+    version = F.when(F.col("known"), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+    rows = rows.join(shared.withColumn("known", F.lit(True)), "id", "left").select("id", version.alias("version"), "text")
+    joined = rows.join(repeated_runs(rows), ["id", "version"], "left").select("id", "text", "places")
     return joined.mapInArrow(cut_repeats, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 def repeated_bytes(docs: DataFrame) -> DataFrame:

@@ -70,3 +70,73 @@ def test_pieces_and_shards(frame, monkeypatch):
     monkeypatch.setattr(suffixes, "PIECE", 128)
     monkeypatch.setattr(suffixes, "SHARD", 500)
     assert result(repeated_bytes(frame(rows))) == brute(rows)
+
+
+def test_thousands_of_rows_without_an_id(frame):
+    """Each has its own text around one passage; they are one document, so only the copy behind id 1 loses something."""
+    passage = "A common passage of more than fifty bytes that all of these rows hold somewhere. "
+    rows = [(None, f"own start {i} " * (i % 5) + passage + f"own end {i}") for i in range(4000)]
+    rows += [(1, passage), (2, passage), (2, "x" + passage)] + [(7, f"text {i} " + passage * (i % 3)) for i in range(50)]
+    assert result(repeated_bytes(frame(rows))) == brute(rows)
+
+
+def test_hot_anchors_are_compared_by_strings(frame, monkeypatch):
+    """A line that all documents hold, with other bytes around it in each."""
+    random.seed(9)
+    line = "This line of some seventy bytes stands in every document of the whole table."
+    rows = [(i, "".join(random.choices("abcdef ", k=40)) + line + "".join(random.choices("ghijk ", k=40)))
+            for i in range(400)]
+    rows += [(1000 + i, rows[i][1][10:100]) for i in range(0, 400, 7)]
+    want = brute(rows)
+    for hot in (16000, 50, 3):
+        monkeypatch.setattr(suffixes, "HOT", hot)
+        assert result(repeated_bytes(frame(rows).repartition(6))) == want
+
+
+def test_names_are_read_as_a_stream():
+    import pyarrow as pa
+
+    random.seed(2)
+    rows = sorted((random.choice([0, 1, 1, 1]), random.randint(0, 6), random.randint(0, 3), random.randint(0, 5), 0, p)
+                  for p in range(120))
+    rows = [r if r[0] else (0, *r[1:]) for r in rows]
+    table = pa.Table.from_pylist([dict(zip(suffixes.ROWS.names, r, strict=True)) for r in rows], suffixes.ROWS)
+
+    def found(size):
+        return sorted(tuple(r.values()) for b in suffixes.compare_names(table.to_batches(max_chunksize=size))
+                      for r in b.to_pylist())
+
+    whole = found(1000)
+    assert all(found(size) == whole for size in (1, 2, 3, 7, 50))
+    asked = [r for r in rows if r[0] == 1]
+    want = [(0, r[1], r[3], r[4], r[5]) for r in rows if r[0] == 0]
+    for r in asked:
+        same = [q for q in asked if q[1:3] == r[1:3]]
+        first = {n: min(q[3] for q in asked if q[1] == r[1] and q[2] == n) for n in {q[2] for q in asked if q[1] == r[1]}}
+        if r[3] > min(q[3] for q in same):
+            want.append((0, r[1], r[3], r[4], r[5]))
+        elif len(first) > 1 and len(set(first.values())) > 1:
+            want.append((1, r[1], r[3], r[4], r[5]))
+    assert whole == sorted(want)
+
+
+def test_side_filter_loses_nothing():
+    """Contexts that it leaves out share no 50 bytes with another document's."""
+    random.seed(4)
+    for _ in range(40):
+        base = bytes(random.choice(b"abcd") for _ in range(120))
+        texts = [bytes(random.choice(b"xyz") if random.random() < 0.02 else c for c in base) for _ in range(8)]
+        pieces, keys, docs = [], [], []
+        for d, t in enumerate(texts):
+            for first, count, key in zip(*suffixes.contexts(t), strict=True):
+                pieces.append(t[first:first + count + 49])
+                keys.append(key)
+                docs.append(d)
+        order = np.argsort(np.array(keys, np.uint64).view(np.int64), kind="stable")
+        pieces, docs = [pieces[i] for i in order], np.array(docs)[order]
+        keys = np.array(keys, np.uint64).view(np.int64)[order]
+        kept = suffixes.may_share(pieces, keys, docs)
+        for i in np.flatnonzero(~kept):
+            own = {pieces[i][a:a + 50] for a in range(len(pieces[i]) - 49)}
+            others = [pieces[j] for j in range(len(pieces)) if docs[j] != docs[i] and keys[j] == keys[i]]
+            assert not any(w in o for w in own for o in others)
