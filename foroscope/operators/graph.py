@@ -5,6 +5,7 @@ a re-read. Loops read back counts, never rows.
 """
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from foroscope.functions.ranking import top_n_per_key
 from foroscope.operators.edges import both_directions
 from foroscope.operators.sample import hash_order
-from foroscope.session import restage, stage
+from foroscope.session import drop_stage, restage, stage
 
 
 def components(edges: DataFrame, nodes: DataFrame | None = None, max_rounds: int = 50) -> DataFrame:
@@ -66,11 +67,13 @@ def choose_pivots(arcs: DataFrame, k: int, seed: int = 42) -> DataFrame:
     return arcs.select(F.col("src").alias("pivot")).distinct().orderBy(hash_order("pivot", seed), "pivot").limit(k)
 
 
-def distances(arcs: DataFrame, pivots: DataFrame, max_rounds: int = 200) -> DataFrame:
-    """Shortest distance from each pivot to every reached node, by relaxation of the changed nodes only."""
+def distances(arcs: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Shortest distance from each pivot to every reached node, by relaxation of the changed nodes only.
+
+    Costs are positive, so the rounds end: there are at most as many as the longest shortest path has edges."""
     known = stage(pivots.select("pivot", F.col("pivot").alias("node"), F.lit(0.0).alias("dist"),
                                 F.lit(0).alias("round")), "dist")
-    for step in range(1, max_rounds + 1):
+    for step in count(1):
         front = known.filter(F.col("round") == step - 1)
         reached = front.join(arcs, front.node == arcs.src).groupBy("pivot", F.col("dst").alias("node")).agg(
             F.min(F.col("dist") + F.col("cost")).alias("cand"))
@@ -81,7 +84,6 @@ def distances(arcs: DataFrame, pivots: DataFrame, max_rounds: int = 200) -> Data
             F.when(better, F.lit(step)).otherwise(F.col("round")).alias("round")), "dist", known)
         if known.filter(F.col("round") == step).limit(1).count() == 0:
             return known.select("pivot", "node", "dist")
-    raise RuntimeError(f"distances not settled after {max_rounds} rounds")
 
 
 def _spread_sums(start: DataFrame, steps: DataFrame, name: str) -> list[DataFrame]:
@@ -189,16 +191,21 @@ def _quality(edges: DataFrame, labels: DataFrame) -> float:
     return row["i"] / row["t"] - row["s"] / (row["t"] * row["t"]) if row["t"] else 0.0
 
 
-def _local_moves(arcs: DataFrame, rounds: int) -> tuple[DataFrame, float]:
-    """Nodes move to the neighbouring community of highest modularity gain, half of them per round."""
+def _local_moves(arcs: DataFrame, start: DataFrame | None = None,
+                 within: DataFrame | None = None) -> tuple[DataFrame, float]:
+    """Nodes move to the neighbouring community of highest modularity gain, half of them per round, until neither half
+    gains any more. They start alone or from ``start``; with ``within`` they stay inside its communities."""
     degree = stage(arcs.groupBy(F.col("src").alias("node")).agg(F.sum("weight").alias("k")), "degree")
     m2 = degree.agg(F.sum("k")).first()[0]
-    labels = stage(degree.select("node", F.col("node").alias("community")), "labels")
-    best, top = labels, _quality(arcs, labels)
-    idle = 0
-    for step in range(rounds):
-        linked = arcs.filter("src <> dst").join(
-            labels.select(F.col("node").alias("dst"), "community"), "dst").groupBy(
+    labels = stage(start if start is not None else degree.select("node", F.col("node").alias("community")), "labels")
+    if not m2:
+        return labels, 0.0
+    links = arcs.filter("src <> dst")
+    if within is not None:
+        links = stage(_same_community(links, within), "inside")
+    best, top, idle = labels, _quality(arcs, labels), 0
+    for step in count():
+        linked = links.join(labels.select(F.col("node").alias("dst"), "community"), "dst").groupBy(
             F.col("src").alias("node"), "community").agg(F.sum("weight").alias("w"))
         mine = labels.join(degree, "node")
         totals = mine.groupBy("community").agg(F.sum("k").alias("tot"))
@@ -212,40 +219,60 @@ def _local_moves(arcs: DataFrame, rounds: int) -> tuple[DataFrame, float]:
         moves = top_n_per_key(options.withColumn("gain", gain).filter((F.col("gain") > 1e-9) & turn),
                               ["node"], [F.desc("gain"), "community"], 1).select(
             "node", F.col("community").alias("target"))
-        labels = stage(labels.join(moves, "node", "left").select(
+        moved = stage(labels.join(moves, "node", "left").select(
             "node", F.coalesce("target", "community").alias("community")), "labels")
-        now = _quality(arcs, labels)
+        if labels is not best:
+            drop_stage(labels)
+        labels, now = moved, _quality(arcs, moved)
         if now > top + 1e-6:
+            drop_stage(best)
             best, top, idle = labels, now, 0
         else:
             idle += 1
             if idle == 2:
-                break
-    return best, top
+                return best, top
+
+
+def _same_community(arcs: DataFrame, labels: DataFrame) -> DataFrame:
+    la = labels.select(F.col("node").alias("src"), F.col("community").alias("ca"))
+    lb = labels.select(F.col("node").alias("dst"), F.col("community").alias("cb"))
+    return arcs.join(la, "src").join(lb, "dst").filter("ca = cb").drop("ca", "cb")
+
 
+def _connected_parts(arcs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Communities split into their connected parts, named by their smallest node; this never lowers modularity."""
+    inside = _same_community(arcs.filter("src < dst"), labels)
+    found = components(inside.select(F.col("src").alias("user_a"), F.col("dst").alias("user_b")), labels)
+    return stage(found.select("node", F.col("component").alias("community")), "parts")
 
-def communities(edges: DataFrame, levels: int = 3, rounds: int = 8) -> DataFrame:
-    """Communities by modularity: local moves, then the same on the graph of communities.
 
-    A level is kept only if modularity rises. Labels are the smallest node id of the community.
+def communities(edges: DataFrame) -> DataFrame:
+    """Connected communities by modularity: local moves, refinement, aggregation, until modularity rises no more.
+
+    After the moves of a level, each community is refined: its nodes start alone again and merge only inside of it, and
+    what is not connected is parted. The refined parts are the nodes of the next level, which starts from the unrefined
+    communities, so a badly connected community can fall apart there. Labels are the smallest node id of the community.
     """
-    arcs = stage(both_directions(edges).withColumn("weight", F.col("weight").cast("double")), "arcs")
-    labels, top = None, float("-inf")
-    for _ in range(levels):
-        found, quality = _local_moves(arcs, rounds)
+    whole = stage(both_directions(edges).withColumn("weight", F.col("weight").cast("double")), "arcs")
+    arcs, start, best, top = whole, None, None, float("-inf")
+    own = whole.select(F.col("src").alias("node")).distinct().select("node", F.col("node").alias("part"))
+    while True:
+        moved, quality = _local_moves(arcs, start)
         if quality <= top + 1e-6:
             break
         top = quality
-        step = found if labels is None else labels.join(
-            found.select(F.col("node").alias("community"), F.col("community").alias("next")), "community").select(
-            "node", F.col("next").alias("community"))
-        labels = stage(step, "communities")
-        la = found.select(F.col("node").alias("src"), F.col("community").alias("ca"))
-        lb = found.select(F.col("node").alias("dst"), F.col("community").alias("cb"))
+        named = moved.select(F.col("node").alias("part"), "community")
+        best = stage(own.join(named, "part").select("node", "community"), "communities")
+        parts = _connected_parts(arcs, _local_moves(arcs, within=moved)[0])
+        renamed = parts.select(F.col("node").alias("part"), F.col("community").alias("next"))
+        start = renamed.join(named, "part").groupBy(F.col("next").alias("node")).agg(F.min("community").alias("community"))
+        start = stage(start, "start")
+        own = stage(own.join(renamed, "part").select("node", F.col("next").alias("part")), "own")
+        la = parts.select(F.col("node").alias("src"), F.col("community").alias("ca"))
+        lb = parts.select(F.col("node").alias("dst"), F.col("community").alias("cb"))
         arcs = stage(arcs.join(la, "src").join(lb, "dst").groupBy(F.col("ca").alias("src"), F.col("cb").alias("dst"))
                      .agg(F.sum("weight").alias("weight")), "arcs")
-    lowest = labels.groupBy("community").agg(F.min("node").alias("label"))
-    return labels.join(lowest, "community").select("node", F.col("label").alias("community"))
+    return _connected_parts(whole, best)
 
 
 def composition(labels: DataFrame, sources: DataFrame) -> DataFrame:

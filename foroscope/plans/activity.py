@@ -8,6 +8,8 @@ from foroscope.operators import activity as ac
 from foroscope.operators import sample as sp
 from foroscope.operators import edges as ed
 from foroscope.plans.registry import query
+from foroscope.session import scratch_path
+from foroscope.streaming import activity as st
 
 # ---- samples
 
@@ -248,9 +250,8 @@ def peak_hours(spark, sf):
 @query("hour_similarity", f"""
 with {TZ_POSTS}, m as (select distinct event_type, json_extract_string(props, '$.k') as section, cast(user_id as varchar) as u
   from events where json_extract_string(props, '$.k') is not null),
-r as (select *, row_number() over (partition by event_type, section order by u) as rk from m),
-q as (select distinct a.u as user_a, b.u as user_b from r a join r b
-  on a.event_type = b.event_type and a.section = b.section and b.rk = a.rk + 1),
+q as (select a.u as user_a, b.u as user_b from m a join m b on a.event_type = b.event_type and a.section = b.section
+  and a.u < b.u group by 1, 2 having count(*) >= 2),
 c as (select cast(userid as varchar) as u, hr, count(*) as k from tzp group by 1, 2),
 nn as (select u, sqrt(sum(k * k)) as norm from c group by 1),
 d as (select user_a, user_b, sum(a.k * b.k) as dot from q join c a on a.u = user_a join c b on b.u = user_b and a.hr = b.hr
@@ -259,7 +260,21 @@ select q.user_a, q.user_b, round(coalesce(dot, 0) / (x.norm * y.norm), 6) as sim
   round(coalesce(dot, 0) / (x.norm * y.norm), 6) >= 0.9 as match
 from q left join d using (user_a, user_b) join nn x on x.u = q.user_a join nn y on y.u = q.user_b""")
 def hour_similarity(spark, sf):
-    """Candidate pairs: users next to each other among those of a section."""
+    """Candidate pairs: users who met in two sections or more."""
     posts = model.posts(spark, sf).withColumn("userid", F.col("userid").cast("string"))
-    pairs = ed.copart_edges(posts.withColumn("threadid", F.col("section").cast("string")), band=1)
+    met = ed.copart_edges(posts.withColumn("threadid", F.col("section").cast("string")))
+    pairs = ed.strong_edges(ed.across_forums(met))
     return ac.hour_similarity(posts, pairs)
+
+
+@query("hourly_stream", """
+select date_trunc('hour', ts) as hour, event_type as forum, count(*) as posts from events group by 1, 2""", days=("hour",))
+def hourly_stream(spark, sf):
+    """Posts per hour and section as a stream over the files of events, read back when it has caught up."""
+    schema = table(spark, sf, "events").schema
+    posts = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(f"{sf}/events.parquet").selectExpr(
+        "cast(ts as timestamp) as ts", "event_type as forum")
+    path = scratch_path(spark, "hourly")
+    st.start_hourly(posts, "ts", ["forum"], f"{path}/counts", f"{path}/checkpoint",
+                    late="400 days").awaitTermination()
+    return st.read_hourly(spark, f"{path}/counts", ["forum"])

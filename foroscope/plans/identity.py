@@ -19,6 +19,7 @@ from foroscope.plans.registry import query
 from foroscope.plans.texts import DELTA, VEC, style_sql
 from foroscope.plans.vectors import actor_vectors
 from foroscope.session import scratch_path, stage
+from foroscope.sources.commits import write_batch
 
 
 @query("handle_fuzzy")
@@ -71,7 +72,9 @@ cand as (select user_a, user_b, delta,
 def convergence_pairs(spark, sf):
     posts = model.text_posts(spark, sf)
     delta = tx.delta_pairs(posts).select("user_a", "user_b", "delta")
-    style = tx.style_similarity(posts, posts.select("userid").distinct()).withColumnRenamed("similarity", "embedding_sim")
+    delta = stage(delta, "delta")
+    actors = delta.select(F.explode(F.array("user_a", "user_b")).alias("userid")).distinct()
+    style = tx.style_similarity(posts, actors).withColumnRenamed("similarity", "embedding_sim")
     longest = F.greatest(F.length("user_a"), F.length("user_b"))
     return stage(delta.join(style, ["user_a", "user_b"]).withColumn(
         "handle_sim", F.round(1 - F.levenshtein("user_a", "user_b") / longest, 6)), "convergence")
@@ -174,7 +177,7 @@ select conv_id * 1000 + turn as item, case when contains(text, '!') then 'exclam
 def scored_labels(spark, sf):
     rows = model.chat(spark, sf).select((F.col("channel") * 1000 + F.col("turn")).alias("item"), "message")
     path = scratch_path(spark, "scores")
-    en.score_rows(rows.filter("item % 3 = 0"), "item", "message", en.rule_scorer).write.parquet(path)
+    write_batch(en.score_rows(rows.filter("item % 3 = 0"), "item", "message", en.rule_scorer), path, "first")
     scored = en.score_with_resume(spark, rows, "item", "message", en.rule_scorer, path, batches=2)
     allowed = ["question", "exclamation", "statement"]
     return scored.select("item", cl.canonical_label("label", allowed).alias("label"))

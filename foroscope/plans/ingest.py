@@ -50,7 +50,10 @@ def ingest_delimited(spark, sf):
         F.col("c_custkey").alias("ID"), F.concat("c_name", F.lit(':"'), "c_mktsegment", F.lit('"')).alias("User"),
         F.col("c_nationkey").alias("PostNum"))
     path = scratch_path(spark, "delimited")
-    users.write.option("sep", ":").option("header", "true").option("escape", '"').csv(path)
+    odd = F.col("ID") % 2 == 1  # two files of one folder, with other columns and another delimiter
+    users.filter(odd).write.option("sep", ":").option("header", "true").option("escape", '"').csv(path)
+    users.filter(~odd).select("PostNum", F.lit("x").alias("Extra"), "User", "ID").write.mode("append").option(
+        "sep", ";").option("header", "true").option("escape", '"').csv(path)
     raw = rawtext.read_delimited(spark, path)
     return raw.selectExpr("id as userid", "user as username", "postnum as posts")
 
@@ -75,6 +78,8 @@ def ingest_concat_json(spark, sf):
         "channel", F.to_json(F.struct(
             "ts", F.concat("username", F.lit("@host.example")).alias("from"),
             F.when(F.col("turn") % 3 != 0, F.lit("bot@host.example")).alias("to"),
+            F.when(F.col("turn") % 4 == 1, F.struct(F.struct(F.lit("}").alias("k")).alias("a"), F.lit(1).alias("b")))
+            .alias("meta"),
             F.concat("message", F.when(F.col("turn") % 2 == 0, F.lit(' } {"x\n')).otherwise(F.lit("")))
             .alias("body"))).alias("value"))
     path = scratch_path(spark, "concatjson")
@@ -125,7 +130,37 @@ def canonical_user(spark, sf):
         """case when c_custkey % 15 = 0 then '0' when c_custkey % 5 = 0 then 'abc'
            else cast(946684800 + c_custkey * 3600 as string) end as joined""",
         "cast(c_nationkey as string) as posts", "case when c_nationkey = 3 then '1' else '0' end as queued")
-    return can.canonical(raw, "ips", "user", "board").select("forum", "userid", "username", "joindate", "posts")
+    named = raw.filter("cast(member_id as int) % 7 = 1").drop("name")  # an export with the display name only
+    raw = raw.filter("cast(member_id as int) % 7 <> 1")
+    return can.canonical(raw, "ips", "user", "board").unionByName(can.canonical(named, "ips", "user", "board")).select(
+        "forum", "userid", "username", "joindate", "posts")
+
+
+@query("canonical_section", """
+select 'board' as forum, cast(n_nationkey as varchar) as forumid, n_name as name, count(distinct c_mktsegment) as topic_count,
+  count(*) as post_count from nation join customer on c_nationkey = n_nationkey group by all""")
+def canonical_section(spark, sf):
+    members = table(spark, sf, "customer", "c_nationkey", "c_mktsegment")
+    raw = table(spark, sf, "nation", "n_nationkey", "n_name").join(members, F.col("n_nationkey") == F.col("c_nationkey"))
+    raw = raw.groupBy(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name")).agg(
+        F.count_distinct("c_mktsegment").cast("string").alias("topics"), F.count("*").cast("string").alias("posts"))
+    return can.canonical(raw, "ips", "section", "board")
+
+
+@query("post_sections", """
+select n_name as section, count(*) as posts, count(distinct c_custkey) as authors
+from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by 1""")
+def post_sections(spark, sf):
+    """Posts with their own section id, named by the table of sections."""
+    people = table(spark, sf, "customer", "c_custkey", "c_nationkey")
+    orders = table(spark, sf, "orders", "o_orderkey", "o_custkey")
+    raw = orders.join(people, F.col("o_custkey") == F.col("c_custkey")).selectExpr(
+        "o_orderkey as pid", "o_custkey as uid", "c_nationkey as fid")
+    sections = can.canonical(table(spark, sf, "nation").selectExpr("n_nationkey as id", "n_name as name"), "ips", "section",
+                             "board")
+    posts = can.canonical(raw, "mybb", "post", "board").join(sections.select("forumid", "name"), "forumid")
+    return posts.groupBy(F.col("name").alias("section")).agg(F.count("*").alias("posts"),
+                                                             F.count_distinct("userid").alias("authors"))
 
 
 @query("pm_with_receiver", """

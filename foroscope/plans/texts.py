@@ -4,9 +4,12 @@ from pyspark.sql import functions as F
 
 from foroscope import model
 from foroscope.functions.wordlists import FUNCTION_WORDS, LANGUAGE_WORDS
-from foroscope.model import cte
+from foroscope.model import cte, table
+from foroscope.operators import gazetteer as gz
+from foroscope.operators import language as lg
 from foroscope.operators import texts as tx
 from foroscope.plans.registry import query
+from foroscope.session import stage
 
 
 def sql_list(items) -> str:
@@ -156,6 +159,53 @@ def language_route(spark, sf):
     return tx.language_route(model.text_posts(spark, sf), "userid", ["fr"])
 
 
+GRAMS = """with p as (select doc_id as postid, source as userid, lang, doc_id % 5 = 0 as held_out,
+  ' ' || trim(regexp_replace(lower(text), '[^\\p{L}]+', ' ', 'g')) || ' ' as plain from documents where text is not null),
+g as materialized (select postid, userid, lang, held_out, unnest(list_transform(range(1, cast(length(plain) - 1 as bigint)),
+  lambda i: substring(plain, cast(i as int), 3))) as gram from p where trim(plain) <> ''),
+c as (select lang, gram, count(*) as c from g where not held_out and lang is not null group by 1, 2),
+t as (select lang as language, sum(c) + (select count(distinct gram) from c) as total from c group by 1),
+d as (select postid, count(*) as n from g group by 1),
+h as (select postid, c.lang as language, sum(ln(c + 1.0::double)) as s from g join c on g.gram = c.gram group by 1, 2),
+scored as (select postid, language, round(coalesce(s, 0) / n - ln(total), 6) as score
+  from d cross join t left join h using (postid, language)),
+best as (select postid, language, score from scored qualify row_number() over (partition by postid order by score desc, language) = 1)"""
+
+
+def gram_profiles(spark, sf):
+    docs = table(spark, sf, "documents", "doc_id", "text", "lang")
+    return lg.learn_profiles(docs.filter("doc_id % 5 <> 0"), "lang", "text")
+
+
+def spread_texts(spark, sf):
+    return model.spread(table(spark, sf, "documents", "doc_id", "text", "source").filter("text is not null").selectExpr(
+        "doc_id as postid", "text", "source as userid"), "postid")
+
+
+@query("language_scores", GRAMS + " select postid, language, score from scored")
+def language_scores(spark, sf):
+    """Log-probability of every text in each language, learned from four fifths of the texts."""
+    return lg.score_languages(spread_texts(spark, sf), "postid", "text", gram_profiles(spark, sf))
+
+
+@query("language_learned", GRAMS + """
+select p.postid, coalesce(language, 'unknown') as language, score from p left join best using (postid)""")
+def language_learned(spark, sf):
+    return lg.detect(spread_texts(spark, sf), "postid", "text", gram_profiles(spark, sf))
+
+
+@query("language_route_learned", GRAMS + """,
+l as (select userid, coalesce(language, 'unknown') as language from p left join best using (postid)),
+r as (select userid, language, count(*) as n, sum(count(*)) over (partition by userid) as total,
+  row_number() over (partition by userid order by count(*) desc, language) as rk from l group by 1, 2)
+select userid, language, round(100 * n / total::double, 1) as pct, case when language = 'fr' then 'fr' else 'en' end as route
+from r where rk = 1""")
+def language_route_learned(spark, sf):
+    texts = spread_texts(spark, sf)
+    found = lg.detect(texts, "postid", "text", gram_profiles(spark, sf)).join(texts.select("postid", "userid"), "postid")
+    return lg.majority_route(found, "userid", ["fr"])
+
+
 @query("topics_lda")
 def topics_lda(spark, sf):
     posts = model.text_posts(spark, sf)
@@ -177,3 +227,49 @@ select type, entity, mentions, cast(row_number() over (partition by type order b
 from c qualify rank <= 15""")
 def top_entities(spark, sf):
     return tx.top_entities(tx.entity_mentions(model.text_posts(spark, sf)), 15)
+
+
+GAZETTEER = r"""words as (select doc_id as postid, unnest(t) as w, generate_subscripts(t, 1) - 1 as pos from (
+    select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') as t from documents)),
+ahead as (select postid, pos, w, lead(w, 1) over o as w2, lead(w, 2) over o as w3 from words
+  window o as (partition by postid order by pos)),
+grams as (select postid, pos, 2 as n, w || ' ' || w2 as phrase from ahead where w2 is not null
+  union all select postid, pos, 3, w || ' ' || w2 || ' ' || w3 from ahead where w3 is not null),
+listed as (select n, phrase, min('doc' || postid % 7) as label from grams where postid % 2 = 1 and md5(phrase)[1] = 'a' group by 1, 2),
+cand as materialized (select postid, pos, n, phrase, label, pos + n as after from grams join listed using (n, phrase)
+  qualify row_number() over (partition by postid, pos order by n desc) = 1),
+nxt as materialized (select a.postid, a.pos, b.pos as nxt from cand a asof join (select postid, pos from cand) b
+  on a.postid = b.postid and a.after <= b.pos),
+walk(postid, pos) as (select postid, min(pos) from cand group by 1
+  union all select x.postid, x.nxt from walk w join nxt x on x.postid = w.postid and x.pos = w.pos),
+found as (select c.* from walk w join cand c on c.postid = w.postid and c.pos = w.pos)"""
+
+
+def listed_phrases(spark, sf):
+    """A list of two- and three-word phrases from every second text, about a sixteenth of them."""
+    docs = table(spark, sf, "documents", "doc_id", "text").filter("doc_id % 2 = 1")
+    rows = docs.select("doc_id", gz.tokens(F.col("text")).alias("t"))
+
+    def phrases(n):
+        places = F.sequence(F.lit(1), F.size("t") - n + 1)
+        return F.when(F.size("t") >= n, F.transform(places, lambda i: F.array_join(F.slice("t", i, F.lit(n)), " "))).otherwise(
+            F.array().cast("array<string>"))
+
+    terms = rows.select(F.concat(F.lit("doc"), F.col("doc_id") % 7).alias("label"), F.explode_outer(F.concat(phrases(2), phrases(3))).alias("term"))
+    return stage(gz.gazetteer(terms.filter(F.substring(F.md5("term"), 1, 1) == "a"), "term", "label"), "phrases")
+
+
+@query("gazetteer_mentions", "with recursive " + GAZETTEER + """
+select postid, cast(pos as int) as pos, cast(n as int) as n, phrase, label from found""")
+def gazetteer_mentions(spark, sf):
+    texts = model.spread(table(spark, sf, "documents", "doc_id", "text").withColumnRenamed("doc_id", "postid"), "postid")
+    return gz.mentions(texts, "postid", "text", listed_phrases(spark, sf))
+
+
+@query("gazetteer_classes", "with recursive " + GAZETTEER + """
+select label, count(*) as mentions, count(distinct phrase) as phrases, count(distinct postid) as posts from found group by 1""")
+def gazetteer_classes(spark, sf):
+    """Mentions per class of the list."""
+    texts = model.spread(table(spark, sf, "documents", "doc_id", "text").withColumnRenamed("doc_id", "postid"), "postid")
+    return gz.mentions(texts, "postid", "text", listed_phrases(spark, sf)).groupBy("label").agg(
+        F.count("*").alias("mentions"), F.count_distinct("phrase").alias("phrases"), F.count_distinct("postid").alias("posts"))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from foroscope import model
 from foroscope.model import cte, table
+from foroscope.operators import neighbours as nb
 from foroscope.operators import vectors as vx
 from foroscope.plans.registry import query
 
@@ -174,3 +175,66 @@ def cluster_leaders(spark, sf):
     members = posts.join(people, F.col("o_custkey") == F.col("c_custkey")).selectExpr(
         "c_mktsegment as cluster", "cast(o_custkey as string) as actor", "posts")
     return vx.cluster_leaders(members, "cluster", "posts")
+
+
+UNITS = cte("vectors") + """,
+u as (select vec_id, list_transform(vec, lambda x: x::double) as vec from vectors),
+near as (select a.vec_id as a, b.vec_id as b, list_cosine_similarity(a.vec, b.vec) as s from u a join u b on a.vec_id <> b.vec_id)"""
+
+
+@query("similar_items", UNITS + """
+select a as user_a, b as user_b, round(s, 6) as similarity from near where a < b and s >= 0.4""")
+def similar_items(spark, sf):
+    """All pairs of items with a cosine of 0.4 or more, by cells."""
+    return nb.similar_pairs(actor_vectors(spark, sf), "vec_id", 0.4)
+
+
+@query("similar_actors", ACTORS + """
+select user_a, user_b, similarity from pairs where similarity >= 0.1""")
+def similar_actors(spark, sf):
+    """Actors whose centroids are alike, without a table of all pairs."""
+    return nb.similar_pairs(actors(spark, sf), "actor", 0.1).filter("similarity >= 0.1")
+
+
+@query("density_clusters", UNITS.replace("with vectors", "with recursive vectors") + """,
+cnt as (select u.vec_id, 1 + count(b) as neighbours from u left join near on a = vec_id and s >= 0.35 group by 1),
+core as (select vec_id from cnt where neighbours >= 4),
+link as (select a, b from near where s >= 0.35 and a in (select vec_id from core) and b in (select vec_id from core)),
+reach(node, root) as (select vec_id, vec_id from core union select b, root from reach join link on a = node),
+comp as (select node, min(root) as cluster from reach group by 1),
+edge as (select a, b from near where s >= 0.35 and a not in (select vec_id from core) and b in (select vec_id from core)
+  qualify row_number() over (partition by a order by round(s, 6) desc, b) = 1)
+select vec_id, neighbours, case when comp.node is not null then 'core' when edge.b is not null then 'border' else 'noise' end
+  as role, coalesce(comp.cluster, c2.cluster, -1) as cluster
+from cnt left join comp on comp.node = vec_id left join edge on edge.a = vec_id left join comp c2 on c2.node = edge.b""")
+def density_clusters(spark, sf):
+    return nb.density_clusters(actor_vectors(spark, sf), "vec_id", 0.35, 4)
+
+
+@query("mixed_density_clusters", UNITS.replace("with vectors", "with recursive vectors") + """,
+cnt as (select u.vec_id, 1 + count(b) as neighbours from u left join near on a = vec_id and s >= 0.35 group by 1),
+core as (select vec_id from cnt where neighbours >= 4),
+link as (select a, b from near where s >= 0.35 and a in (select vec_id from core) and b in (select vec_id from core)),
+reach(node, root) as (select vec_id, vec_id from core union select b, root from reach join link on a = node),
+comp as (select node, min(root) as cluster from reach group by 1),
+edge as (select a, b from near where s >= 0.35 and a not in (select vec_id from core) and b in (select vec_id from core)
+  qualify row_number() over (partition by a order by round(s, 6) desc, b) = 1),
+placed as (select node as vec_id, cluster from comp union all select a, cluster from edge join comp on node = b),
+c as (select cluster, grp, count(*) as n from placed join vectors using (vec_id) group by 1, 2)
+select cluster, cast(sum(n) as bigint) as members, count(*) as sources, max(n) as largest from c group by 1 having count(*) > 1""")
+def mixed_density_clusters(spark, sf):
+    """Density clusters with members of several groups."""
+    rows = actor_vectors(spark, sf)
+    found = nb.density_clusters(rows, "vec_id", 0.35, 4).join(rows.select("vec_id", "grp"), "vec_id")
+    return vx.mixed_clusters(found, "grp")
+
+
+@query("vector_topk_batch", cte("vectors") + """,
+u as (select vec_id, list_transform(vec, lambda x: x::double) as vec from vectors)
+select q.vec_id as query, v.vec_id as key, round(list_cosine_similarity(q.vec, v.vec), 6) as similarity,
+  cast(row_number() over (partition by q.vec_id order by round(list_cosine_similarity(q.vec, v.vec), 6) desc, v.vec_id) as int)
+    as rank from u q join u v on q.vec_id % 50 = 0 qualify rank <= 10""")
+def vector_topk_batch(spark, sf):
+    """The ten nearest of all rows for every row whose id is divisible by 50."""
+    rows = actor_vectors(spark, sf)
+    return nb.nearest_rows(rows, "vec_id", rows.filter("vec_id % 50 = 0"), 10)

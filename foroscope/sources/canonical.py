@@ -21,6 +21,7 @@ ALIASES = {
         "private_message": {"topic_id": "msg_topic_id", "dateline": "msg_date", "text": "msg_post",
                             "sender_id": "msg_author_id"},
         "message_topic": {"topic_id": "mt_id", "receiver_id": "mt_to_member_id"},
+        "section": {"forumid": "id", "topic_count": "topics", "post_count": "posts"},
     },
     "flat": {
         "user": {"userid": "id", "username": "user", "joindate": "regdate", "lastactivity": "lastactive",
@@ -34,12 +35,13 @@ COLUMNS = {
     "user": {"userid": "string", "username": "string", "joindate": "time", "lastactivity": "time",
              "lastpost": "time", "posts": "bigint", "reputation": "bigint", "timezoneoffset": "bigint",
              "usertitle": "string"},
-    "post": {"postid": "string", "threadid": "string", "userid": "string", "username": "string",
+    "post": {"postid": "string", "threadid": "string", "forumid": "string", "userid": "string", "username": "string",
              "dateline": "time", "pagetext": "string"},
     "thread": {"threadid": "string", "forumid": "string", "userid": "string", "title": "string",
                "dateline": "time", "lastpost": "time", "replycount": "bigint", "views": "bigint"},
     "private_message": {"topic_id": "string", "sender_id": "string", "dateline": "time", "text": "string"},
     "message_topic": {"topic_id": "string", "receiver_id": "string"},
+    "section": {"forumid": "string", "name": "string", "topic_count": "bigint", "post_count": "bigint"},
     "pmtext": {"pmtextid": "string", "fromuserid": "string", "title": "string", "message": "string",
                "touserarray": "string", "dateline": "time"},
 }
@@ -59,12 +61,12 @@ def canonical(df: DataFrame, family: str, table: str, forum: str) -> DataFrame:
     """Rename, type and project one raw table; absent columns become typed NULLs.
 
     Rows held for moderation (``queued`` other than 0) are dropped, a display name wins over the login
-    name, and ``forum`` records the source.
+    name, and ``forum`` records the source. ``section`` is the table of a board's own sub-forums.
     """
     if "queued" in df.columns:
         df = df.filter(F.col("queued").cast("string") == "0")
-    if "members_display_name" in df.columns and "name" in df.columns:
-        df = df.withColumn("name", F.coalesce("members_display_name", "name"))
+    if "members_display_name" in df.columns:
+        df = df.withColumn("name", F.coalesce("members_display_name", *["name"] * ("name" in df.columns)))
     alias = ALIASES[family].get(table, {})
     out = [F.lit(forum).alias("forum")]
     for name, kind in COLUMNS[table].items():

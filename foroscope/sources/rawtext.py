@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foroscope.functions.text import local_part, strip
-from foroscope.session import ship_by_value
+from foroscope.session import ship_by_value, stage
 
 ship_by_value(__name__)
 
@@ -139,11 +139,37 @@ def dump_table(rows: DataFrame, table: str, columns: list[str], forum: bool = Fa
         *["forum"] * forum, *[F.try_element_at("fields", F.lit(c)).alias(c) for c in columns])
 
 
+def balanced_objects(frags: DataFrame) -> DataFrame:
+    """Outermost ``{..}`` objects of fragments split at ``}``.
+
+    Each fragment is a step of a state machine whose state is (inside a string, open braces). Its effect on the first part
+    is its parity of unescaped quotes, on the second the braces outside of strings, so the states before each fragment
+    are running sums, taken per file block first. An object ends where a fragment leaves no brace open.
+    """
+    def count(text, mark):
+        return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+
+    bare = F.regexp_replace("value", r"(?s)\\.", "")
+    run = _running(frags.withColumn("quotes", count(bare, '"')), "quotes", "before", inclusive=False)
+    outside = F.regexp_replace(F.concat(F.when(F.col("before") % 2 == 1, '"').otherwise(""), bare), r'"[^"]*("|$)', "")
+    closes = F.when((F.col("before") + F.col("quotes")) % 2 == 0, 1).otherwise(0)
+    run = _running(run.withColumn("closes", closes).withColumn("step", count(outside, "{") - closes), "step", "depth",
+                   inclusive=True)
+    run = run.withColumn("closed", F.when(F.col("depth") == 0, F.col("closes")).otherwise(0))
+    run = _running(run, "closed", "object", inclusive=False)
+    parts = run.groupBy("file", "object").agg(F.sort_array(F.collect_list(F.struct("block", "at", "value"))).alias("parts"))
+    return parts.select("file", F.concat(F.array_join(F.transform("parts", lambda p: p["value"]), "}"),
+                                         F.lit("}")).alias("text"))
+
+
 def read_concatenated_json(spark: SparkSession, path: str, source: str) -> DataFrame:
-    """Chat objects ``{..}{..}`` without separators; fields ts, from, to, body."""
-    objects = joined_statements(fragments(spark, path, "}"), "}", '"')
-    parsed = F.from_json(F.concat(strip("text"), F.lit("}")), "ts string, `from` string, `to` string, body string")
-    rows = objects.filter(F.col("text").contains("{")).select("file", parsed.alias("o"))
+    """Chat objects ``{..}{..}`` without separators; fields ts, from, to, body.
+
+    Objects may hold further fields and nested objects; what does not parse is dropped."""
+    objects = balanced_objects(fragments(spark, path, "}"))
+    parsed = F.from_json(strip("text"), "ts string, `from` string, `to` string, body string, broken string",
+                         {"columnNameOfCorruptRecord": "broken"})
+    rows = objects.filter(F.col("text").contains("{")).select("file", parsed.alias("o")).filter("o.broken is null")
     rows = rows.select("file", "o.ts", F.col("o.from").alias("sender"), F.col("o.to").alias("receiver"), "o.body")
     return rows.select(
         F.expr("try_to_timestamp(ts)").alias("timestamp"),
@@ -203,10 +229,37 @@ DELIMITERS = [":", "|", "\t", ";", ","]
 
 
 def read_delimited(spark: SparkSession, path: str) -> DataFrame:
-    """Delimited user file; the delimiter is the first known one found in the header line."""
-    header = spark.read.text(path).first()["value"]
-    sep = next((d for d in DELIMITERS if d in header), ":")
-    names = [h.strip().strip('"').lower() for h in header.split(sep)]
-    schema = ", ".join(f"`{n}` string" for n in names)
-    return (spark.read.schema(schema).option("header", "true").option("enforceSchema", "true")
-            .option("sep", sep).option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE").csv(path))
+    """Delimited user files, each with its own header line and delimiter: the first known one found in its header.
+
+    The columns are those of all headers together, in lower case; a file without one of them has NULL there. Short rows
+    are padded with NULL, surplus fields cut, blank lines skipped. A folder without lines gives no rows and no columns.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+                                         F.col("_metadata.file_block_start").alias("block"),
+                                         F.monotonically_increasing_id().alias("at")).filter(F.trim("value") != "")
+    place = F.struct("block", "at")
+    first = lines.filter("block = 0").groupBy("file").agg(F.min_by("value", place).alias("header"), F.min(place).alias("top"))
+    sep = F.lit(DELIMITERS[0])
+    for d in reversed(DELIMITERS):
+        sep = F.when(F.contains("header", F.lit(d)), F.lit(d)).otherwise(sep)
+    first = stage(first.withColumn("sep", sep), "headers")  # one row a file
+    width = first.agg(F.max(F.size(F.split("header", F.concat(F.lit("\\Q"), "sep", F.lit("\\E")))))).first()[0]
+    if not width:
+        return spark.createDataFrame([], "").select()
+    schema = ", ".join(f"c{i} string" for i in range(width))
+
+    def cells(line):
+        """Fields of a line by the delimiter of its file."""
+        out = F.lit(None).cast(f"struct<{schema.replace(' string', ':string')}>")
+        for d in DELIMITERS:
+            out = F.when(F.col("sep") == d, F.from_csv(line, schema, {"sep": d, "quote": '"', "escape": '"'})).otherwise(out)
+        return out
+
+    named = stage(first.withColumn("c", cells(F.col("header"))).select(
+        "file", "top", "sep", F.transform(F.array(*[f"c.c{i}" for i in range(width)]), lambda x: F.lower(F.trim(x)))
+        .alias("names")), "header-names")
+    names = [r[0] for r in named.select(F.explode("names").alias("n")).filter("n is not null and n <> ''").groupBy("n")
+             .agg(F.min(F.lit(1))).orderBy("n").collect()]  # the columns of the result
+    rows = lines.join(named, "file").filter(place > F.col("top")).withColumn("c", cells(F.col("value")))
+    rows = rows.select("names", F.array(*[f"c.c{i}" for i in range(width)]).alias("cells"))
+    return rows.select(*[F.get("cells", F.array_position("names", F.lit(n)).cast("int") - 1).alias(n) for n in names])
