@@ -270,9 +270,11 @@ def hour_similarity(spark, sf):
 @query("hourly_stream", """
 select date_trunc('hour', ts) as hour, event_type as forum, count(*) as posts from events group by 1, 2""", days=("hour",))
 def hourly_stream(spark, sf):
-    """Posts per hour and section as a stream over the files of events, read back when it has caught up."""
+    """Posts per hour and section as a stream over the files of events, read back when it has caught up.
+
+    A stream reads folders or patterns; the pattern names the one table."""
     schema = table(spark, sf, "events").schema
-    posts = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(f"{sf}/events.parquet").selectExpr(
+    posts = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(f"{sf}/event[s].parquet").selectExpr(
         "cast(ts as timestamp) as ts", "event_type as forum")
     path = scratch_path(spark, "hourly")
     st.start_hourly(posts, "ts", ["forum"], f"{path}/counts", f"{path}/checkpoint",
