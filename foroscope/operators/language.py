@@ -20,14 +20,16 @@ class Profiles:
 
 
 def letters(text: Column) -> Column:
-    """Lower-case letters of any script, all else as one blank, with a blank at either end."""
-    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " ")), F.lit(" "))
+    """Lower-case letters of any script one by one, all else as one blank, with a blank at either end."""
+    plain = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " "))
+    return F.split(F.concat(F.lit(" "), plain, F.lit(" ")), "")
 
 
-def grams(plain: str, n: int) -> Column:
+def grams(chars: str, n: int) -> Column:
     """All n-grams of a column of :func:`letters`, repeats included; none where there is no letter."""
-    places = F.sequence(F.lit(1), F.length(plain) - n + 1)
-    return F.when((F.length(plain) >= n) & (F.trim(plain) != ""), F.transform(places, lambda i: F.substring(plain, i, F.lit(n))))
+    size = F.size(chars)
+    return F.when((size >= n) & (size > 2), F.transform(F.sequence(F.lit(1), size - n + 1),
+                                                        lambda i: F.array_join(F.slice(chars, i, F.lit(n)), "")))
 
 
 def learn_profiles(texts: DataFrame, lang: str, text: str, n: int = 3) -> Profiles:
@@ -35,9 +37,9 @@ def learn_profiles(texts: DataFrame, lang: str, text: str, n: int = 3) -> Profil
 
     n-grams are counted where texts are read, so a language that holds most texts is no hot key. Languages are a short
     list; the profiles have a row for each n-gram of their alphabets, however many texts there are."""
-    seen = texts.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), letters(F.col(text)).alias("plain"))
+    seen = texts.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), letters(F.col(text)).alias("chars"))
     # explode_outer: the filter that a plain explode implies would rewrite the text for every n-gram
-    counts = stage(seen.select("lang", F.explode_outer(grams("plain", n)).alias("gram")).filter("gram is not null").groupBy(
+    counts = stage(seen.select("lang", F.explode_outer(grams("chars", n)).alias("gram")).filter("gram is not null").groupBy(
         "lang", "gram").agg(F.count("*").alias("c")), "grams")
     known = counts.agg(F.count_distinct("gram")).first()[0]
     totals = {r["lang"]: r["c"] for r in counts.groupBy("lang").agg(F.sum("c").alias("c")).collect()}
@@ -54,8 +56,8 @@ def score_languages(texts: DataFrame, key: str, text: str, profiles: Profiles) -
     names = list(profiles.unseen)
     if not names:
         return texts.select(key, F.lit("").alias("language"), F.lit(0.0).alias("score")).limit(0)
-    rows = texts.select(F.col(key).alias("key"), letters(F.col(text)).alias("plain")).select(
-        "key", F.explode_outer(grams("plain", profiles.n)).alias("gram")).filter("gram is not null")
+    rows = texts.select(F.col(key).alias("key"), letters(F.col(text)).alias("chars")).select(
+        "key", F.explode_outer(grams("chars", profiles.n)).alias("gram")).filter("gram is not null")
     sums = rows.join(profiles.gains, "gram", "left").groupBy("key").agg(
         F.count("*").alias("n"), *[F.sum(F.coalesce(F.col(f"`{k}`"), F.lit(0.0))).alias(f"s{i}") for i, k in enumerate(names)])
     each = F.array(*[F.struct(F.lit(k).alias("language"), F.round(F.col(f"s{i}") / F.col("n") + profiles.unseen[k], 6)

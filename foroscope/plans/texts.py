@@ -161,8 +161,9 @@ def language_route(spark, sf):
 
 GRAMS = """with p as (select doc_id as postid, source as userid, lang, doc_id % 5 = 0 as held_out,
   ' ' || trim(regexp_replace(lower(text), '[^\\p{L}]+', ' ', 'g')) || ' ' as plain from documents where text is not null),
-g as materialized (select postid, userid, lang, held_out, unnest(list_transform(range(1, cast(length(plain) - 1 as bigint)),
-  lambda i: substring(plain, cast(i as int), 3))) as gram from p where trim(plain) <> ''),
+g as materialized (select postid, userid, lang, held_out, unnest(list_transform(range(1, len(ch) - 1),
+  lambda i: ch[i] || ch[i + 1] || ch[i + 2])) as gram
+  from (select *, string_split(plain, '') as ch from p where trim(plain) <> '')),
 c as (select lang, gram, count(*) as c from g where not held_out and lang is not null group by 1, 2),
 t as (select lang as language, sum(c) + (select count(distinct gram) from c) as total from c group by 1),
 d as (select postid, count(*) as n from g group by 1),
