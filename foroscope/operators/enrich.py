@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from foroscope.operators.sample import hash_order
 from foroscope.session import ship_by_value
 from foroscope.sources.combine import pending
-from foroscope.sources.commits import committed, read_committed, write_batch
+from foroscope.sources.commits import adopt, committed, read_committed, write_batch
 
 ship_by_value(__name__)
 
@@ -29,10 +29,12 @@ def score_with_resume(spark: SparkSession, df: DataFrame, key: str, text: str, s
                       batches: int = 4) -> DataFrame:
     """Score what the result table does not hold yet, in hash-split batches that are committed one by one.
 
-    A lost run continues after its last committed batch; a batch that was written but not committed is done again, so no
-    key is lost or doubled. New rows of a later run make a batch of their own.
+    A plain Parquet table of earlier results at ``path`` is taken over. A lost run continues after its last committed
+    batch; a batch that was written but not committed is done again, so no key is lost or doubled. New rows of a later
+    run make a batch of their own.
     """
     part = F.pmod(F.xxhash64(F.lit("batch"), hash_order(key)), F.lit(batches))
+    adopt(spark, path)
     run = len(committed(spark, path))
     for i in range(batches):
         done = read_committed(spark, path)

@@ -43,6 +43,13 @@ def commit(spark: SparkSession, root: str, batch: str, folder: str) -> None:
         fs.rename(draft, place)
 
 
+def adopt(spark: SparkSession, root: str) -> None:
+    """A finished plain Parquet table that stands at ``root`` already becomes its first batch."""
+    done, fs = _files(spark, f"{root}/_SUCCESS")
+    if fs.exists(done) and not committed(spark, root):
+        commit(spark, root, "first", "*.parquet")
+
+
 def write_batch(df: DataFrame, root: str, batch: str) -> bool:
     """Write and commit one batch unless it is there; whether it was written."""
     spark = df.sparkSession
