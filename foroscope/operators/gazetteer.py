@@ -12,6 +12,13 @@ def tokens(text) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"({TOKEN})"), F.lit(1))
 
 
+def runs(words: Column, n: int) -> Column:
+    """Every run of ``n`` words of an array of :func:`tokens`, joined by blanks, in one pass of a pattern that looks ahead
+    by n words and moves by one."""
+    ahead = " ".join(["[^ ]++"] * n)
+    return F.regexp_extract_all(F.array_join(words, " "), F.lit(f"(?<![^ ])(?=({ahead}))[^ ]++"), F.lit(1))
+
+
 def gazetteer(terms: DataFrame, term: str, label: str) -> DataFrame:
     """Terms as runs of lower-case words: n, hash, phrase, label. Of equal phrases the smallest label counts; terms
     without a word are none."""
@@ -29,18 +36,18 @@ def candidates(texts: DataFrame, key: str, text: str, listed: DataFrame) -> Data
     if not lengths:
         return texts.select(key, F.lit(0).alias("pos"), F.lit(0).alias("n"), F.lit("").alias("phrase"), F.lit("").alias("label")).limit(0)
     rows = texts.select(key, tokens(F.col(text)).alias("t"))
-
-    def runs(n):
-        def at(i):
-            phrase = F.array_join(F.slice("t", i + 1, F.lit(n)), " ")
-            return F.struct(i.alias("pos"), F.lit(n).alias("n"), phrase.alias("phrase"), F.xxhash64(phrase).alias("hash"))
-        return F.when(F.size("t") >= n, F.transform(F.sequence(F.lit(0), F.size("t") - n), at)).otherwise(F.array())
-
-    every = runs(lengths[0]) if len(lengths) == 1 else F.concat(*[runs(n) for n in lengths])
     # explode_outer: the filter that a plain explode implies would tokenise again for every run
-    met = rows.select(key, F.explode_outer(every).alias("r")).filter("r is not null").select(key, "r.*").alias("a").join(
-        listed.alias("b"), (F.col("a.n") == F.col("b.n")) & (F.col("a.hash") == F.col("b.hash")) &
-        (F.col("a.phrase") == F.col("b.phrase")))
+    every = rows.select(key, F.size("t").alias("words"), F.posexplode_outer(
+        F.concat(*[runs(F.col("t"), n) for n in lengths])).alias("at", "phrase")).filter("phrase is not null")
+    # the runs of each length follow one another
+    n, pos, before = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(0)
+    for size in lengths:
+        n = F.when((F.col("at") >= before) & (F.col("words") >= size), F.lit(size)).otherwise(n)
+        pos = F.when((F.col("at") >= before) & (F.col("words") >= size), F.col("at") - before).otherwise(pos)
+        before = before + F.greatest(F.col("words") - size + 1, F.lit(0))
+    # the hash leads, so that rows are sorted by a number
+    met = every.select(key, pos.alias("pos"), n.alias("n"), "phrase", F.xxhash64("phrase").alias("hash")).alias("a").join(
+        listed.alias("b"), (F.col("a.hash") == F.col("b.hash")) & (F.col("a.phrase") == F.col("b.phrase")))
     best = Window.partitionBy(key, "pos").orderBy(F.desc("n"))
     found = met.select(f"a.{key}", "a.pos", "a.n", "a.phrase", "b.label")
     return found.withColumn("r", F.row_number().over(best)).filter("r = 1").drop("r")
