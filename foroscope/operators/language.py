@@ -20,16 +20,16 @@ class Profiles:
 
 
 def letters(text: Column) -> Column:
-    """Lower-case letters of any script one by one, all else as one blank, with a blank at either end."""
+    """Lower-case letters of any script, all else as one blank, with a blank at either end."""
     plain = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " "))
-    return F.split(F.concat(F.lit(" "), plain, F.lit(" ")), "")
+    return F.concat(F.lit(" "), plain, F.lit(" "))
 
 
 def grams(chars: str, n: int) -> Column:
-    """All n-grams of a column of :func:`letters`, repeats included; none where there is no letter."""
-    size = F.size(chars)
-    return F.when((size >= n) & (size > 2), F.transform(F.sequence(F.lit(1), size - n + 1),
-                                                        lambda i: F.array_join(F.slice(chars, i, F.lit(n)), "")))
+    """All n-grams of a column of :func:`letters`, repeats included; none where there is no letter.
+
+    One pass of a pattern that looks ahead by n characters and moves by one."""
+    return F.when(F.length(chars) > 2, F.regexp_extract_all(F.col(chars), F.lit(f"(?=(.{{{n}}}))."), F.lit(1)))
 
 
 def learn_profiles(texts: DataFrame, lang: str, text: str, n: int = 3) -> Profiles:

@@ -5,6 +5,8 @@ import random
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from foroscope.operators import gazetteer as gz
 from foroscope.operators import language as lg
 
@@ -91,3 +93,29 @@ def test_longest_mentions(spark):
     assert sorted(map(tuple, got.collect())) == brute_mentions(texts, terms)
     nothing = gz.gazetteer(spark.createDataFrame([], "term string, label string"), "term", "label")
     assert gz.mentions(spark.createDataFrame(texts, "id long, text string"), "id", "text", nothing).count() == 0
+
+
+def test_runs_and_grams_take_one_pass(spark):
+    texts = ["", "one", "one two", "a b  c, d_e 𝒜𝒜 ß!", "x " * 40 + "y" * 500]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").select(
+        "id", "text", gz.tokens(F.col("text")).alias("t"), lg.letters(F.col("text")).alias("c"))
+    out = df.select("text", *[gz.runs(F.col("t"), n).alias(f"r{n}") for n in (1, 2, 3)], lg.grams("c", 3).alias("g"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and "slice(" not in plan
+    for r in out.collect():
+        t = re.findall(r"\w+", r.text.lower())
+        for n in (1, 2, 3):
+            assert r[f"r{n}"] == [" ".join(t[i:i + n]) for i in range(len(t) - n + 1)]
+        assert (r.g or []) == grams(r.text)
+
+
+def test_runs_are_sorted_by_their_hash(spark):
+    listed = gz.gazetteer(spark.createDataFrame([("a b", "x"), ("c", "y")], "term string, label string"), "term", "label")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = gz.candidates(spark.createDataFrame([(1, "a b c")], "id long, text string"), "id", "text", listed)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert re.search(r"SortMergeJoin \[hash#", plan)
+    assert sorted(map(tuple, found.collect())) == [(1, 0, 2, "a b", "x"), (1, 2, 1, "c", "y")]
