@@ -109,6 +109,22 @@ def test_communities_better_than_singletons(spark):
     assert ed.modularity(edges, labels).first().modularity > 0.2
 
 
+def test_a_round_of_moves_is_few_jobs(spark, monkeypatch):
+    """Modularity is a by-product of the next round, not a pass of its own."""
+    rounds, sc = [], spark.sparkContext
+    monkeypatch.setattr(gr, "stage", lambda df, name, write=gr.stage: rounds.append(name) or write(df, name))
+    arcs = ed.both_directions(frame(spark, random_edges(30, 60, 8))).selectExpr("src", "dst", "cast(weight as double) as weight")
+    sc.setJobGroup("moves", "moves")
+    try:
+        labels, quality = gr._local_moves(arcs)
+        jobs = len(sc.statusTracker().getJobIdsForGroup("moves"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 12 * rounds.count("labels")
+    found = ed.modularity(frame(spark, random_edges(30, 60, 8)), labels).first()
+    assert quality == pytest.approx(found.modularity, abs=1e-6)
+
+
 def test_clustering(spark):
     got = {r.userid: (r.triangles, r.clustering) for r in ed.clustering(frame(spark, TRIANGLES)).collect()}
     assert got["a"] == (1, 1.0) and got["c"] == (1, pytest.approx(1 / 3, abs=1e-6))
