@@ -3,9 +3,11 @@
 Centres are vectors of the table in hash order, as many as the square root of its rows up to a setting. Every vector is at
 home in the cell of its nearest centre. Angles obey the triangle inequality, so a vector within ``reach`` of a member of
 another cell is no further than that cell's radius plus ``reach`` from its centre, and no further than twice ``reach``
-beyond the distance to its own centre; it visits only the cells that pass both tests. In a cell, members are dealt into
-parts of bounded size, and members and visitors stream past each part, so no task holds a large cell and no row is made
-for a pair that is not asked for. The bounds lose nothing: results equal a comparison of all pairs.
+beyond the distance to its own centre; it visits only the cells that pass both tests. Cells that mostly the same vectors
+visit are packed into one bin, to which a vector is sent once, so where the bounds prune little the rows sent are as many as
+the bins, not the cells. In a cell or bin, members are dealt into parts of bounded size, and members and visitors stream past
+each part, so no task holds a large cell and no row is made for a pair that is not asked for. The bounds lose nothing: results
+equal a comparison of all pairs.
 """
 
 from dataclasses import dataclass
@@ -24,10 +26,12 @@ ship_by_value(__name__)
 
 #: Centres at most; each vector is compared with all of them.
 CELLS = 1024
-#: Members of one part of a cell, about.
-PART = 4096
+#: Members of one part of a bin, about, and members that cells are packed up to.
+PART = 16384
 #: Rows of a stream that are compared with a part at once.
-STEP = 512
+STEP = 256
+#: Comparisons that packing cells may add, as a share of those of the cells alone.
+EXTRA = 0.1
 #: Angles are compared with this slack, so rounding prunes nothing.
 SLACK = 1e-7
 MEMBER, INSIDE, VISITOR = 0, 1, 2
@@ -40,7 +44,11 @@ class Cells:
     home: DataFrame
     centres: np.ndarray
     radius: np.ndarray
-    parts: np.ndarray
+    members: np.ndarray
+
+    @property
+    def parts(self) -> np.ndarray:
+        return np.maximum(1, -(-self.members // PART))
 
 
 def angles(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -80,10 +88,10 @@ def place(rows: DataFrame, cells: int = CELLS) -> Cells | None:
     centres = np.array([r["vec"] for r in chosen.collect()])  # a bounded number of rows
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
     home = stage(rows.mapInArrow(settle(centres), f"{columns}, cell int, angle double"), "cells")
-    radius, parts = np.full(len(centres), -1.0), np.ones(len(centres), np.int64)
+    radius, members = np.full(len(centres), -1.0), np.zeros(len(centres), np.int64)
     for r in home.groupBy("cell").agg(F.max("angle").alias("radius"), F.count("*").alias("n")).collect():
-        radius[r["cell"]], parts[r["cell"]] = r["radius"], -(-r["n"] // PART)
-    return Cells(home, centres, radius, parts)
+        radius[r["cell"]], members[r["cell"]] = r["radius"], r["n"]
+    return Cells(home, centres, radius, members)
 
 
 def visited(away: np.ndarray, own: np.ndarray, reach: np.ndarray, radius: np.ndarray) -> np.ndarray:
@@ -92,18 +100,44 @@ def visited(away: np.ndarray, own: np.ndarray, reach: np.ndarray, radius: np.nda
     return (radius >= 0) & (away <= radius + reach) & (away <= own.reshape(-1, 1) + 2 * reach)
 
 
+def packed(cells: Cells, reach: float) -> np.ndarray:
+    """The bin of each cell: cells of together at most ``PART`` members whose visitors are mostly the same.
+
+    The centres, a sample of the vectors, stand for the visitors. A cell joins the bin of a near one unless the comparisons
+    of the bin would exceed those of its cells alone by more than ``EXTRA``."""
+    away = angles(cells.centres, cells.centres)
+    goes = visited(away, np.maximum(cells.radius, 0), np.full(len(away), reach), cells.radius)
+    bins = np.full(len(away), -1)
+    for first in range(len(away)):
+        if bins[first] >= 0:
+            continue
+        bins[first], n, seen = first, cells.members[first], goes[:, first]
+        alone = n * seen.sum()
+        for c in np.argsort(away[first], kind="stable"):
+            if bins[c] >= 0 or n + cells.members[c] > PART:
+                continue
+            both, apart = seen | goes[:, c], alone + cells.members[c] * goes[:, c].sum()
+            if (n + cells.members[c]) * both.sum() <= (1 + EXTRA) * apart:
+                bins[c], n, seen, alone = first, n + cells.members[c], both, apart
+    return np.unique(bins, return_inverse=True)[1]
+
+
 def deal(cells: Cells, reach: float):
-    """Members to their parts; members and later visitors to every part of each cell they must be compared with."""
-    centres, radius, parts = cells.centres, cells.radius, cells.parts
+    """Members to their parts; members and later visitors to every part of each bin they must be compared with."""
+    centres, radius, bins = cells.centres, cells.radius, packed(cells, reach)
+    parts = np.maximum(1, -(-np.bincount(bins, cells.members).astype(np.int64) // PART))
+    order = np.argsort(bins, kind="stable")
+    starts = np.searchsorted(bins[order], np.arange(len(parts)))
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            vectors, cell = matrix(batch.column("vec")), batch.column("cell").to_numpy()
-            away = angles(vectors, centres)
-            goes = visited(away, away[np.arange(len(cell)), cell], reach, radius)
-            goes &= np.arange(len(centres)) > cell[:, None]  # each pair of cells once
+            vectors, home = matrix(batch.column("vec")), batch.column("cell").to_numpy()
+            away, cell = angles(vectors, centres), bins[home]
+            goes = visited(away, away[np.arange(len(home)), home], reach, radius)
+            goes = np.logical_or.reduceat(goes[:, order], starts, axis=1)
+            goes &= np.arange(len(parts)) > cell[:, None]  # each pair of bins once
             row, to = np.nonzero(goes)
             row, to = np.concatenate([np.arange(len(cell)), row]), np.concatenate([cell, to])
             kind = np.where(to == cell[row], INSIDE, VISITOR)

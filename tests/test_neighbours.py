@@ -106,6 +106,14 @@ def test_cells_prune(spark):
     assert work / len(x) < 0.2 * len(x)
 
 
+def test_cells_that_nothing_prunes_are_packed(spark):
+    """Where every vector visits every cell, it is sent once for a bin of many cells."""
+    x = np.random.default_rng(9).normal(size=(1500, 32))
+    found = nb.place(nb.usable(frame(spark, x, odd=False), "vec_id", "vec"))
+    sent = nb.dealt(found, found.home.selectExpr("key", "0L as mark", "vec", "cell"), float(np.arccos(0.2)))
+    assert len(found.centres) == 38 and sent.count() < 4 * len(x)
+
+
 def test_nothing_usable(spark):
     empty = frame(spark, np.zeros((3, 4)))
     assert nb.similar_pairs(empty.limit(0), "vec_id", 0.9).count() == 0
