@@ -89,3 +89,14 @@ def test_convergence_counts_signals(spark):
     assert got["a", "b"] == (2, pytest.approx((0.9 + 1 + 0.8) / 3, abs=1e-6))
     assert got["a", "c"] == (1, pytest.approx((0.2 + 0 + 0.75) / 3, abs=1e-6))
     assert got["b", "c"][0] == 1
+
+
+def test_actor_table_builds_the_public_graph_once(spark, monkeypatch):
+    from conftest import SF
+
+    from foroscope.operators import edges as ed
+    from foroscope.plans.identity import actor_table
+
+    built, build = [], ed.copart_edges
+    monkeypatch.setattr(ed, "copart_edges", lambda *a, **k: built.append(1) or build(*a, **k))
+    assert actor_table(spark, SF).count() > 0 and len(built) == 1
