@@ -2,6 +2,8 @@
 
 import datetime as dt
 import random
+import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from foroscope.functions import ranking as rk
 from foroscope.functions import stats as st
 from foroscope.functions import text as tf
 from foroscope.functions import vectors as vf
+from foroscope.functions.wordlists import FUNCTION_WORDS
 from foroscope.operators import activity as ac
 from foroscope.operators import clean as cl
 from foroscope.operators import enrich as en
@@ -159,6 +162,29 @@ def test_style_blank_and_joined(spark):
     assert got["v"].mean_sentence_len == 0.0
 
 
+def test_style_counts_without_word_arrays(spark):
+    odd = ["  ...The Cat, y EL gato! también? TAMBIÉN \u212anow know \u0130n. \U00010400a \U00010428The", "", "?!", "\u00a0a_b 9x X9",
+           "x x. xx", ",;,; a;b,C", "más m\u00e1\u0301s", "\U0001d7d9 \U0001f600The", "of the <b>of</b> http://to.the"]
+    df = spark.createDataFrame([("u", i, t) for i, t in enumerate(odd)], "userid string, postid long, pagetext string")
+    out = tx._text_counts(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan
+    word = re.compile(r"\w+")  # of these texts: letters, numbers and underscores
+    for r in out.collect():
+        text = odd[r.postid]
+        found = word.findall(text)
+        assert r.n_words == len(found)
+        assert r.func == sum(w.lower() in FUNCTION_WORDS for w in found)
+        assert r.caps == sum(unicodedata.category(w[0]) == "Lu" for w in found)
+        assert list(r.pieces) == [len(p.split()) for p in re.split(r"[.!?]+", text)]
+    char = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c")
+    chars = spark.range(1, 0x110000).filter("id < 55296 or id > 57343").select(char).filter(~F.col("c").isin(*".!?"))
+    assert chars.filter(F.col("c").rlike(f"^{tx.TOKEN}$") != F.col("c").rlike(f"^{tx.RUN}$")).isEmpty()
+    vectors = tx.delta_vectors(df, min_words=1)
+    assert vectors.first().n_words == sum(len(re.findall("[a-zA-Z]+", re.sub(r"https?://\S+", " ", re.sub("<[^>]+>", " ", t))))
+                                          for t in odd)
+
+
 def test_tfidf_bigrams_cross_texts(spark):
     rows = [("g", 1, "red car"), ("g", 2, "the"), ("g", 3, "fast red"), ("h", 4, "car fast")]
     df = spark.createDataFrame(rows, "grp string, postid long, pagetext string")
