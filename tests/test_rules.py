@@ -193,6 +193,14 @@ def test_tfidf_bigrams_cross_texts(spark):
     assert got["h", "car fast"] == 1 and got["g", "fast red"] == 1
 
 
+def test_topics_are_found_once(spark):
+    rows = [("u", i, f"apple pear plum {'rain snow wind' if i % 2 else 'iron gold zinc'}") for i in range(40)]
+    found = tx.topics(spark.createDataFrame(rows, "userid string, postid long, pagetext string"), k=2)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation" in plan and "UDF" not in plan  # a written table, not the model run again by each reader
+    assert found.count() == 40 and found.columns == ["postid", "topic", "share"]
+
+
 def test_snapshot_and_null_keys(spark):
     rows = [(2019, "a"), (2019, "b"), (2020, "a"), (2022, "a"), (2022, "c")]
     got = {(r.kind, r.from_year, r.to_year): (r.persist, r.vanish, r.appear) for r in rp.snapshot_transitions(
