@@ -1,11 +1,12 @@
 """Suffix-array dedup of repeated byte strings with a distributed difference-cover algorithm.
 
 Suffixes that share 50 bytes share every choice that depends on these bytes alone. So each position is sent to the shard
-of its anchor, the smallest hash among the 16-byte strings inside its 50 bytes: suffixes that could be adjacent with a
+of its anchor, the smallest hash among the 20-byte strings inside its 50 bytes: suffixes that could be adjacent with a
 common prefix of 50 bytes always meet in one shard. Positions of one anchor are consecutive and travel as one context,
 named by its hash. Contexts with the same name have the same suffixes: all but those of the smallest document are
 repeats. Where an anchor has differently named contexts in several documents, the contexts themselves go to the shard;
-those that agree with none of another document in the 17 bytes on one side of the anchor cannot share 50 and are left out.
+those that agree with none of another document in the 15 bytes on one side of the anchor cannot share 50 and are left out.
+Strings of 20 bytes seldom meet by chance however large the table is; of shorter ones a growing share does.
 An anchor with more than ``HOT`` open contexts (the edge of a very common line) is not sorted in one task: its 50-byte
 strings are compared one by one, by name, those that repeat in a batch only once.
 In a shard the suffix array is built by the difference cover modulo 3 (sorted triples at two thirds of the positions are named,
@@ -25,15 +26,15 @@ from foroscope.session import stage
 ship_by_value(__name__)
 
 LENGTH = 50
-GRAM = 16
-WINDOW = LENGTH - GRAM + 1  # 16-byte strings inside 50 bytes
+GRAM = 20
+WINDOW = LENGTH - GRAM + 1  # 20-byte strings inside 50 bytes
 PIECE = 1 << 22  # bytes that are hashed at once; positions in a piece fit in 24 bits
 SHARD = 1 << 20  # bytes of contexts sorted at once
 #: Contexts of one anchor that would not fit a shard are compared string by string, each string in a group of its own.
 HOT = SHARD // (LENGTH + GRAM)
 LOW24 = np.uint64((1 << 24) - 1)
 COUNT_BITS = 6
-#: Of the 34 bytes of a shared string beside its anchor, so many are on one side.
+#: Of the 30 bytes of a shared string beside its anchor, so many are on one side.
 SIDE = (LENGTH - GRAM) // 2
 ROWS = pa.schema([("kind", pa.int8()), ("key", pa.int64()), ("name", pa.int64()), ("id", pa.int64()),
                   ("version", pa.int64()), ("place", pa.int64())])
@@ -46,14 +47,15 @@ CONTEXT = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("version", pa.int
 GONE, ASK = 0, 1
 
 def gram_hashes(text: np.ndarray) -> np.ndarray:
-    """64-bit hash of each 16-byte string."""
+    """64-bit hash of each 20-byte string."""
     n = len(text) - GRAM + 1
-    a = np.ndarray((n,), "<u8", text, 0, (1,))
-    b = np.ndarray((n,), "<u8", text, 8, (1,))
+    a, b, c = (np.ndarray((n,), "<u8", text, k, (1,)) for k in (0, 8, GRAM - 8))
     h = a * np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(32)
     h += b * np.uint64(0xC2B2AE3D27D4EB4F)
     h ^= h >> np.uint64(29)
+    h += c * np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(32))
 
@@ -135,15 +137,15 @@ def name_strings(batches):
 def compare_names(batches):
     """By anchor: contexts that a smaller document has too are gone, others that may share a part are asked about.
 
-    Rows come sorted by kind, anchor, name and document and are read as a stream. Of an anchor whose contexts have one
-    name, or come from one document, the open ones are held back; once it has more, they pass."""
+    Rows come sorted by anchor, name and document, decided ones anywhere, and are read as a stream. Of an anchor whose
+    contexts have one name, or come from one document, the open ones are held back; once it has more, they pass."""
     last, held, several = None, None, False
     for batch in batches:
         kind, key, name, doc, version, place = (batch.column(c).to_numpy() for c in ROWS.names)
-        gone = int(np.count_nonzero(kind == GONE))
-        if gone:
-            yield batch.slice(0, gone).select(FOUND.names)
-        key, name, doc, version, place = (c[gone:] for c in (key, name, doc, version, place))
+        gone = kind == GONE
+        if gone.any():
+            yield batch.filter(pa.array(gone)).select(FOUND.names)
+            key, name, doc, version, place = (c[~gone] for c in (key, name, doc, version, place))
         if not len(key):
             continue
         starts = group_starts([key, name])
@@ -167,7 +169,7 @@ def compare_names(batches):
         names[group_starts(rows[:2])] = 1
         many = (np.add.reduceat(names, starts) > 1) & (np.maximum.reduceat(rows[2], starts) >
                                                        np.minimum.reduceat(rows[2], starts))
-        if several and rows[0][0] == batch.column("key")[gone].as_py():
+        if several and rows[0][0] == key[0]:
             many[0] = True
         if rows[0][-1] == key[-1]:  # else the anchor that goes on had nothing open here
             several = bool(many[-1])
@@ -256,13 +258,12 @@ def side_hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
         return np.ndarray((len(data) - 8,), "<u8", data, 0, (1,))[at + offset]
 
     h = word(0) * np.uint64(0x9E3779B97F4A7C15)
-    h = (h ^ (h >> np.uint64(31)) ^ word(8)) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return (h ^ (h >> np.uint64(29)) ^ word(SIDE - 8)) * np.uint64(0xBF58476D1CE4E5B9)
+    return (h ^ (h >> np.uint64(31)) ^ word(SIDE - 8)) * np.uint64(0xC2B2AE3D27D4EB4F)
 
 def may_share(pieces: list[bytes], keys: np.ndarray, docs: np.ndarray) -> np.ndarray:
-    """Contexts that agree with one of another document in the 17 bytes on one side of their common anchor.
+    """Contexts that agree with one of another document in the 15 bytes on one side of their common anchor.
 
-    Contexts of one anchor that share 50 bytes share them around the anchor's 16, so 17 or more on one side."""
+    Contexts of one anchor that share 50 bytes share them around the anchor's 20, so 15 or more on one side."""
     lengths = np.array([len(p) for p in pieces])
     ends = np.cumsum(lengths)
     data = np.frombuffer(b"".join(pieces) + bytes(2 * SIDE + GRAM), np.uint8)
@@ -324,19 +325,21 @@ def cut_contexts(batches):
                 cut.append(text[first:first + count + LENGTH - 1])
         yield to_batch(CONTEXT, keys, ids, versions, places, cut)
 
-def met_names(rows: DataFrame, name: str) -> DataFrame:
+def met_names(rows: DataFrame) -> DataFrame:
     """Names of one anchor in one task; decided rows go anywhere."""
     shard = F.when(F.col("kind") == ASK, F.col("key")).otherwise(F.xxhash64("id", "place"))
-    met = rows.repartition(shard).sortWithinPartitions("kind", "key", "name", "id", "version", "place")
-    return stage(met.mapInArrow(compare_names, FOUND_SQL), name)
+    # what rows of a document have in common stands together and is compressed well; sorted by anchor first, since sorting
+    # compares the first column at once and the others only where it is equal
+    met = rows.select("key", "name", "place", "id", "version", "kind").repartition(shard).sortWithinPartitions("key", "name", "id", "version", "place")
+    return met.mapInArrow(compare_names, FOUND_SQL)
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """(id, version, places) of (id, version, text) rows: runs of positions whose 50 bytes begin in a smaller document."""
-    found = met_names(docs.mapInArrow(name_contexts, ROWS_SQL), "contexts")
+    found = stage(met_names(docs.mapInArrow(name_contexts, ROWS_SQL)), "contexts")
     open_ = found.filter(F.col("kind") == ASK)
     hot = stage(open_.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("key"), "hot-anchors")
 
-    def with_texts(asked: DataFrame) -> DataFrame:
+    def with_texts(asked: DataFrame) -> DataFrame:  # in one query with its result, so that the texts move once
         lists = asked.groupBy("id", "version").agg(F.collect_list(F.struct("key", "place")).alias("asked"))
         return docs.join(lists, ["id", "version"]).select("id", "version", "text", "asked")
 
@@ -346,7 +349,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     gone = found.filter(F.col("kind") == GONE).unionByName(shards.mapInArrow(sort_shards, FOUND_SQL))
     if not hot.isEmpty():
         strings = with_texts(open_.join(hot, "key", "left_semi")).mapInArrow(name_strings, ROWS_SQL)
-        gone = gone.unionByName(met_names(strings, "strings").filter(F.col("kind") == GONE))
+        gone = gone.unionByName(met_names(strings).filter(F.col("kind") == GONE))
     return gone.groupBy("id", "version").agg(F.collect_list("place").alias("places"))
 
 def kept_bytes(text: bytes, places: np.ndarray) -> tuple[bytes, int]:

@@ -140,3 +140,31 @@ def test_side_filter_loses_nothing():
             own = {pieces[i][a:a + 50] for a in range(len(pieces[i]) - 49)}
             others = [pieces[j] for j in range(len(pieces)) if docs[j] != docs[i] and keys[j] == keys[i]]
             assert not any(w in o for w in own for o in others)
+
+
+def test_texts_move_once_with_hot_anchors(spark, frame, monkeypatch):
+    """The strings of hot anchors are cut in the query of the result, which shuffles the texts once for all its joins."""
+    rows = [(i, f"own start {i} of this row " + "A passage of more than fifty bytes that every row holds. " + f"own end {i}")
+            for i in range(60)]
+    staged = []
+    monkeypatch.setattr(suffixes, "HOT", 3)
+    monkeypatch.setattr(suffixes, "stage", lambda df, name, keep=suffixes.stage: staged.append(name) or keep(df, name))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = repeated_bytes(frame(rows))
+        assert result(found) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(staged) == ["contexts", "hot-anchors", "shared-ids"]
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("mapInArrow") + plan.count("MapInArrow") >= 4 and plan.count("ReusedExchange") >= 2
+
+
+def test_chance_meetings_do_not_open_contexts():
+    """Texts of few words share many strings of 16 bytes; an anchor is longer, so fewer of them meet."""
+    rng = random.Random(1)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(60)]
+    keys = [set(suffixes.contexts(" ".join(rng.choices(words, k=3000)).encode())[2].tolist()) for _ in range(8)]
+    shared = [len(k & set().union(*keys[:i], *keys[i + 1:])) / len(k) for i, k in enumerate(keys)]
+    assert suffixes.GRAM > 16 and max(shared) < 0.2
