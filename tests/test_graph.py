@@ -109,6 +109,18 @@ def test_communities_better_than_singletons(spark):
     assert ed.modularity(edges, labels).first().modularity > 0.2
 
 
+def test_composition_ranks_communities_by_size(spark):
+    members = {"a": 4, "b": 2, "c": 5, "d": 2, "e": 1}
+    labels = spark.createDataFrame([(f"{c}{i}", c) for c, n in members.items() for i in range(n)] + [("z", None)],
+                                   "node string, community string")
+    sources = spark.createDataFrame([(f"{c}{i}", "xy"[i % 2]) for c, n in members.items() for i in range(n) if c != "e"],
+                                    "node string, source string")
+    got = {(r.community, r.source): (r.members, r["size"], r.size_rank) for r in gr.composition(labels, sources).collect()}
+    assert got == {("a", "x"): (2, 4, 2), ("a", "y"): (2, 4, 2), ("b", "x"): (1, 2, 3), ("b", "y"): (1, 2, 3),
+                   ("c", "x"): (3, 5, 1), ("c", "y"): (2, 5, 1), ("d", "x"): (1, 2, 3), ("d", "y"): (1, 2, 3),
+                   ("e", None): (1, 1, 5)}
+
+
 def test_a_round_of_moves_is_few_jobs(spark, monkeypatch):
     """Modularity is a by-product of the next round, not a pass of its own."""
     rounds, sc = [], spark.sparkContext
