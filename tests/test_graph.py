@@ -7,6 +7,7 @@ import pytest
 
 from foroscope.operators import edges as ed
 from foroscope.operators import graph as gr
+from foroscope.plans import QUERIES
 
 
 def random_edges(n=20, m=34, seed=3):
@@ -62,6 +63,48 @@ def test_betweenness_exact_with_all_pivots(spark, distance, cost):
         assert got[node] == pytest.approx(value / 2, abs=1e-6)
 
 
+@pytest.mark.parametrize("distance,tables", [("unit", False), ("unit", True), ("inverse", True)])
+def test_betweenness_of_all_nodes(spark, monkeypatch, distance, tables):
+    """Through the tasks and through tables, there in many blocks of sources; a path, two parts and a hub beside."""
+    monkeypatch.setattr(gr.brandes, "STATE", 200)
+    monkeypatch.setattr(gr.brandes, "CHUNK", 7)
+    if tables:
+        monkeypatch.setattr(gr.brandes, "ARCS", 0)
+        monkeypatch.setattr(gr, "SOURCE_NODES", 900)
+    rows = random_edges(16, 26) + [("hub", f"x{i}", 1) for i in range(12)] + [("hub", "n00", 2), ("p", "q", 1)]
+    if not tables:
+        rows += [(f"y{i:02d}", f"y{i + 1:02d}", 1) for i in range(20)]
+    cost = (lambda w: 1.0) if distance == "unit" else (lambda w: 1.0 / w)
+    want = brute_betweenness(rows, cost)
+    got = {r.userid: r.betweenness for r in gr.betweenness(
+        frame(spark, rows), k=None, distance=distance, normalised=False).collect()}
+    assert got == {node: pytest.approx(value / 2, abs=1e-6) for node, value in want.items()}
+
+
+def test_structural_signals_come_from_all_nodes(spark, tmp_path):
+    rng = random.Random(9)
+    orders = [(o, rng.randint(1, 14)) for o in range(40)] + [(40, None), (None, 3)]
+    lines = [(rng.choice([*range(41), None]), rng.randint(1, 6), rng.choice([*range(1, 9), None])) for _ in range(70)]
+    tables = {"customer": ("select explode(sequence(0L, 14L)) as c_custkey", None),
+              "orders": (orders, "o_orderkey long, o_custkey long"),
+              "lineitem": (lines, "l_orderkey long, l_partkey long, l_suppkey long")}
+    for name, (rows, schema) in tables.items():
+        df = spark.sql(rows) if schema is None else spark.createDataFrame(rows, schema)
+        if name == "lineitem":
+            df = df.selectExpr("*", "1 as l_linenumber", "2.0D as l_quantity", "timestamp '1997-01-01' as l_shipdate",
+                               "'A' as l_returnflag")
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    buyer = {o: c for o, c in orders if o is not None}
+    met = {(f"C{buyer[o]}", f"S{s}") for o, _, s in lines if buyer.get(o) and s}
+    want = brute_betweenness([(*p, 1) for p in met], lambda w: 1.0)
+    got = {r.userid: r.betweenness_private for r in QUERIES["structural_signals"](spark, str(tmp_path)).collect()}
+    n = len(want)
+    assert n > 16 and sorted(got) == sorted(str(i) for i in range(1, 15))
+    for userid, value in got.items():
+        node = f"C{userid}"
+        assert value == (pytest.approx(want[node] / ((n - 1) * (n - 2)), abs=1e-7) if node in want else None)
+
+
 def test_betweenness_normalised_star(spark):
     rows = [("c", x, 1) for x in "lmno"]
     got = {r.userid: r.betweenness for r in gr.betweenness(frame(spark, rows), k=10).collect()}
