@@ -7,6 +7,10 @@ from foroscope.session import stage
 
 TOKEN = r"[\p{L}\p{N}_]+"
 
+# Bits for each phrase in the marks of a list, and all bits at most (32 MB). A row of marks has 4096 bits in 64 words; a hash
+# sets three bits of a row.
+BITS, MOST_BITS, ROW_BITS, PLACES = 16, 1 << 28, 4096, (28, 40, 52)
+
 
 def tokens(text) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"({TOKEN})"), F.lit(1))
@@ -27,11 +31,41 @@ def gazetteer(terms: DataFrame, term: str, label: str) -> DataFrame:
     return phrases.select("n", F.xxhash64("phrase").alias("hash"), "phrase", "label")
 
 
+def bits_of(hashed: Column) -> list[tuple[Column, Column]]:
+    """Word and bit of each of the places of a hash in its row of marks."""
+    places = [F.shiftrightunsigned(hashed, p).bitwiseAND(F.lit(ROW_BITS - 1).cast("long")).cast("int") for p in PLACES]
+    return [(F.shiftright(p, 6), p.bitwiseAND(F.lit(63))) for p in places]
+
+
+def marks(listed: DataFrame) -> tuple[DataFrame, int]:
+    """Rows (part, marks) of bits set by the hashes of a list, and their number, which does not grow beyond a limit."""
+    parts, wanted = 1, BITS * listed.count()
+    while parts * ROW_BITS < min(wanted, MOST_BITS):
+        parts *= 2
+    bits = F.explode(F.array(*[F.struct(w.alias("word"), b.alias("bit")) for w, b in bits_of(F.col("hash"))])).alias("b")
+    words = listed.select(F.col("hash").bitwiseAND(F.lit(parts - 1).cast("long")).alias("part"), bits).groupBy(
+        "part", F.col("b.word").alias("word")).agg(F.expr("bit_or(shiftleft(1L, b.bit))").alias("m"))
+    found = words.groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("word", "m"))).alias("found"))
+    row = F.transform(F.sequence(F.lit(0), F.lit(ROW_BITS // 64 - 1)),
+                      lambda w: F.coalesce(F.try_element_at("found", w), F.lit(0)))
+    return stage(found.select("part", row.alias("marks")), "marks"), parts
+
+
+def marked(rows: DataFrame, listed: DataFrame) -> DataFrame:
+    """Rows whose hash may be in the list: all that are, and some others."""
+    table, parts = marks(listed)
+    met = rows.withColumn("part", F.col("hash").bitwiseAND(F.lit(parts - 1).cast("long"))).join(F.broadcast(table), "part")
+    for word, bit in bits_of(F.col("hash")):
+        met = met.filter(F.getbit(F.get("marks", word), bit) == 1)
+    return met.select(*rows.columns)
+
+
 def candidates(texts: DataFrame, key: str, text: str, listed: DataFrame) -> DataFrame:
     """Longest listed phrase at each word of each text: key, pos (from 0), n, phrase, label.
 
     Every run of words as long as some phrase becomes one row with its hash, which meets the list in an equi-join: the list
-    is only broadcast where the optimizer finds it small. Equal hashes are compared as text."""
+    is only broadcast where the optimizer finds it small. Equal hashes are compared as text. Only runs whose bit is set in
+    the marks of the list, which are of bounded size and go to all tasks, are shuffled to it."""
     lengths = [r["n"] for r in listed.select("n").distinct().orderBy("n").collect()]  # word counts, a few numbers
     if not lengths:
         return texts.select(key, F.lit(0).alias("pos"), F.lit(0).alias("n"), F.lit("").alias("phrase"), F.lit("").alias("label")).limit(0)
@@ -45,11 +79,13 @@ def candidates(texts: DataFrame, key: str, text: str, listed: DataFrame) -> Data
         n = F.when((F.col("at") >= before) & (F.col("words") >= size), F.lit(size)).otherwise(n)
         pos = F.when((F.col("at") >= before) & (F.col("words") >= size), F.col("at") - before).otherwise(pos)
         before = before + F.greatest(F.col("words") - size + 1, F.lit(0))
+    rows = every.select(key, pos.alias("pos"), n.alias("n"), "phrase", F.xxhash64("phrase").alias("hash"))
     # the hash leads, so that rows are sorted by a number
-    met = every.select(key, pos.alias("pos"), n.alias("n"), "phrase", F.xxhash64("phrase").alias("hash")).alias("a").join(
+    met = marked(rows, listed).alias("a").join(
         listed.alias("b"), (F.col("a.hash") == F.col("b.hash")) & (F.col("a.phrase") == F.col("b.phrase")))
     best = Window.partitionBy(key, "pos").orderBy(F.desc("n"))
-    found = met.select(f"a.{key}", "a.pos", "a.n", "a.phrase", "b.label")
+    # dealt by text, as mentions need them
+    found = met.select(f"a.{key}", "a.pos", "a.n", "a.phrase", "b.label").repartition(key)
     return found.withColumn("r", F.row_number().over(best)).filter("r = 1").drop("r")
 
 
@@ -58,7 +94,7 @@ def mentions(texts: DataFrame, key: str, text: str, listed: DataFrame) -> DataFr
 
     Candidates of a text fall into islands of overlapping ones; only inside an island, a few words long, one choice depends
     on the one before it."""
-    rows = stage(candidates(texts, key, text, listed), "gazetteer")
+    rows = candidates(texts, key, text, listed)
     order = Window.partitionBy(key).orderBy("pos")
     reach = F.max(F.col("pos") + F.col("n")).over(order.rowsBetween(Window.unboundedPreceding, -1))
     opened = rows.withColumn("opens", F.coalesce(reach <= F.col("pos"), F.lit(True)).cast("int"))

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from foroscope.operators import gazetteer as gz
@@ -119,3 +120,21 @@ def test_runs_are_sorted_by_their_hash(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert re.search(r"SortMergeJoin \[hash#", plan)
     assert sorted(map(tuple, found.collect())) == [(1, 0, 2, "a b", "x"), (1, 2, 1, "c", "y")]
+
+
+@pytest.mark.parametrize("most", [1 << 28, 4096])
+def test_only_marked_runs_are_shuffled(spark, monkeypatch, most):
+    monkeypatch.setattr(gz, "MOST_BITS", most)
+    listed = gz.gazetteer(spark.range(3000).selectExpr("concat('w', id, ' x') as term", "'l' as label"), "term", "label")
+    table, parts = gz.marks(listed)
+    assert parts == (16 if most > 4096 else 1) and table.count() == parts
+    rows = spark.range(20_000).selectExpr("id", "xxhash64(concat('w', id, ' x')) as hash")
+    kept = [r.id for r in gz.marked(rows, listed).collect()]
+    assert {*range(3000)} <= {*kept} and len(kept) == len({*kept})
+    if most > 4096:
+        assert len(kept) < 3400  # some 85 others are expected
+    texts = spark.createDataFrame([(1, "w1 x w3001 x"), (2, "w2999 x"), (3, "w1 w2")], "id long, text string")
+    found = gz.candidates(texts, "id", "text", listed)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "getbit" in plan or "bit_get" in plan
+    assert sorted(map(tuple, found.collect())) == [(1, 0, 2, "w1 x", "l"), (2, 0, 2, "w2999 x", "l")]
